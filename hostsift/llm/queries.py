@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .license_scan import license_report
 from .packing import pack_documents
 from .quality import classify_quality
 from .secret_scan import secret_report
@@ -32,6 +33,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
     "op10_toxicity": op10_toxicity,
 }
