@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .license_scan import license_report
 from .packing import pack_documents
 from .quality import classify_quality
@@ -41,6 +42,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
 
