@@ -13,6 +13,7 @@ from .license_scan import license_report
 from .packing import pack_documents
 from .quality import classify_quality
 from .secret_scan import secret_report
+from .suffix_dedup import remove_repeats
 from .toxicity import classify_toxicity
 
 
@@ -20,6 +21,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_license_scan": op7_license_scan,
