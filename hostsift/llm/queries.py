@@ -12,6 +12,7 @@ from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .license_scan import license_report
 from .packing import pack_documents
+from .piece_codec import piece_report
 from .quality import classify_quality
 from .secret_scan import secret_report
 from .suffix_dedup import remove_repeats
@@ -22,6 +23,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_piece_codec": op2_piece_codec,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
