@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import held_out
 
@@ -208,17 +209,33 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     return QualityModel.fit([np.frombuffer(x, np.uint32) for x in sample["x"]], sample["y"].to_numpy(int))
 
 
+def _scored(docs: DataFrame, model, schema: T.StructType, text_col: str) -> DataFrame:
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(**{schema.names[-1]: [model.value.score(t) for t in batch[text_col]]})[schema.names]
+
+    return docs.mapInPandas(score, schema)
+
+
 def classify_quality(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.3, sample_rows: int = 12_000
 ) -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted."""
     model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, label_col, sample_rows))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [model.value.score(t) for t in batch["text"]]})
-
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(score, "doc_id long, score double")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())])
+    scored = _scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, schema, "text")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def quality_filter(
+    docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.3, sample_rows: int = 12_000
+) -> DataFrame:
+    """The documents with a score of ``threshold`` or more, columns as they were; no shuffle."""
+    model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, label_col, sample_rows))
+    name = "score"
+    while name in docs.columns:
+        name = f"_{name}"
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return _scored(docs, model, schema, "text").filter(F.col(name) >= threshold).drop(name)
