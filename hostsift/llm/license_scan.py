@@ -89,8 +89,9 @@ def license_matches(
         F.posexplode(F.concat(F.array(text), F.split(text, "\n"))).alias("segment", "line"),
     ).filter(F.length("line") > 2 * fewest)
     words = F.filter(F.split(F.lower("line"), NOT_WORD), lambda w: w != "")
+    last = F.greatest(F.size("words") - 1, F.lit(0))  # Spark may test the bigrams before the word count
     grams = F.array_distinct(
-        F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1), lambda a, b: F.concat_ws(" ", a, b))
+        F.zip_with(F.slice("words", 1, last), F.slice("words", 2, last), lambda a, b: F.concat_ws(" ", a, b))
     )
     rows = (
         segments.withColumn("words", words).filter(F.size("words") > fewest)
