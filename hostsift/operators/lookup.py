@@ -81,7 +81,7 @@ def looked_up(
     return hits.unionByName(live.select(*on, *rest).withColumn("hit_source", F.lit("live"))), live
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def rdap_statuses(bodies: pd.Series) -> pd.Series:
     """Sorted distinct strings under any "status" key, however deep."""
     import json
