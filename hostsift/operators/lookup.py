@@ -35,10 +35,10 @@ def per_partition(make_client: Callable[[], Callable[[dict], dict]], schema: str
 
     def provider(keys: DataFrame) -> DataFrame:
         names = keys.columns
+        columns = T._parse_datatype_string(schema).names
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             client = make_client()
-            columns = [f.name for f in T._parse_datatype_string(schema).fields]
             for batch in batches:
                 rows = [{**key, **client(key)} for key in batch[names].to_dict("records")]
                 yield pd.DataFrame(rows, columns=columns)

@@ -17,7 +17,8 @@ from hostsift.sources import config as N
 from hostsift.sources import lists, tables
 from hostsift.streaming import ingest
 
-NOW = F.to_timestamp(F.lit("2024-01-10 00:00:00"))
+def now():
+    return F.to_timestamp(F.lit("2024-01-10 00:00:00"))
 
 
 @pytest.fixture(scope="module")
@@ -82,14 +83,14 @@ def test_cache(spark):
     over = table(("a", "over", "2024-01-01", "2024-02-01"), ("b", "over", "2024-01-01", "2024-01-09"))
     base = table(("a", "base", "2024-01-05", "2024-03-01"), ("b", "base", "2024-01-01", "2024-02-01"), ("c", "base", "2024-01-01", "2024-01-10"))
     keys = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
-    found = C.layered(keys, over, base, ["k"], NOW)
+    found = C.layered(keys, over, base, ["k"], now())
     assert {r["k"]: (r["hit"]["v"] if r["hit"] else None, r["hit_source"]) for r in found.collect()} == {"a": ("over", "overlay"), "b": ("base", "baseline"), "c": (None, None)}
     assert C.counters(found).first().asDict() == {"hits": 2, "misses": 1, "overlay_hits": 1, "baseline_hits": 1}
     assert [r["k"] for r in C.misses(found).collect()] == ["c"]
     assert sorted(r["v"] for r in C.upsert(base, over, ["k"]).collect()) == ["base", "over", "over"] and row
     assert [r["k"] for r in C.delete(over, keys.filter("k = 'a'"), ["k"]).collect()] == ["b"]
     assert {r["k"]: r["v"] for r in C.merge_latest(over.unionByName(base), ["k"]).collect()} == {"a": "base", "b": "base", "c": "base"}
-    stamped = C.stamped(keys, NOW, F.lit(7)).first()
+    stamped = C.stamped(keys, now(), F.lit(7)).first()
     assert (stamped["expires_at"] - stamped["checked_at"]).days == 7
     lists_ = spark.createDataFrame([('["a","b"]',), ("[1,\"x\"]",), ("bad",), ('{"a":1}',), (None,)], "j string")
     assert [r[0] for r in lists_.select(C.json_list(F.col("j"))).collect()] == [["a", "b"], ["x"], [], [], []]
@@ -104,7 +105,7 @@ def test_lookups(spark):
         asked.append(df.count())
         return L.fixture(answers, ["registrable_domain"])(df)
 
-    all_, live = L.looked_up(keys, ["registrable_domain"], NOW, provider)
+    all_, live = L.looked_up(keys, ["registrable_domain"], now(), provider)
     assert asked == [2] and all_.count() == live.count() == 2
     parsed = {r["registrable_domain"]: (r["exists"], r["statuses"], r["cacheable"]) for r in L.parsed_rdap(answers).collect()}
     assert parsed == {"a.com": (True, ["clientHold", "ok"], True), "b.com": (False, [], True), "c.com": (None, [], False), "d.com": (None, [], True)}
