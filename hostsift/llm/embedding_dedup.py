@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -55,6 +56,7 @@ def calibrate(n: int, cosine: float, recall: float) -> tuple[int, int, int]:
     return bits, tables, count
 
 
+@lru_cache(maxsize=16)
 def directions(dim: int, number: int, seed: int) -> np.ndarray:
     a = np.random.default_rng([seed, dim]).standard_normal((dim, number))
     return a / np.linalg.norm(a, axis=0)

@@ -15,6 +15,7 @@ from .packing import pack_documents
 from .piece_codec import piece_report
 from .quality import classify_quality
 from .secret_scan import secret_report
+from .sql import SQL
 from .suffix_dedup import remove_repeats
 from .toxicity import classify_toxicity
 
@@ -67,6 +68,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+__all__ = ["QUERIES", "SQL"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_piece_codec": op2_piece_codec,
@@ -79,12 +82,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
-
-SQL: dict[str, str] = {
-    "op1_exact_dedup": r"""
-        WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
-        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-               doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
-        FROM n WINDOW w AS (PARTITION BY norm)
-    """,
-}
