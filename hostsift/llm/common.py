@@ -67,6 +67,34 @@ class Scratch:
         target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class RecentCache(dict):
+    """key -> value by subclasses' ``make``, in two generations of bounded size.
+
+    When the young generation is full it becomes the old one, so values that keep being
+    used survive; keys of over 64 characters are never kept.
+    """
+
+    limit = 200_000
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def squeezed(text: Column) -> Column:
     """Null as empty, and each run of white space as one space.
 

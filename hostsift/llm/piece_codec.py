@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import RecentCache
+
 SPACE = "▁"
 #: Stands for a "▁" of the text itself, which must not be read back as a space; no text holds it.
 LITERAL = "\udc81"
@@ -39,11 +41,24 @@ _UNIT = re.compile(r" *[^ ]+| +")
 _SCALE = float(1 << 64)
 
 
+class _Units(RecentCache):
+    """Unit -> bytes of its ids under one seed, rate and variant."""
+
+    limit = 100_000
+
+    def __init__(self, owner: PieceModel, rate: float, seed: int, variant: int):
+        super().__init__()
+        self.owner, self.rate, self.tag = owner, rate, f"{seed}:{variant}:"
+
+    def make(self, unit: str) -> bytes:
+        key = xxhash.xxh3_64_intdigest((self.tag + unit).encode("utf-8", "replace"))
+        marked = unit.replace(SPACE, LITERAL).replace(" ", SPACE)
+        return np.array(self.owner.unit(marked, self.rate, key), "<u4").tobytes()
+
+
 class PieceModel:
     """Pieces, scores and byte pieces of a BPE model with byte fallback."""
 
-    limit = 250_000
-
     def __init__(self, path: str):
         import sentencepiece
 
@@ -63,7 +78,7 @@ class PieceModel:
                 self.ids[piece] = k
                 self.rank[piece] = -m.get_score(k)
                 self.texts.append(piece.replace(SPACE, " ").encode())
-        self.cache: dict[tuple[int, str], bytes] = {}
+        self.caches: dict[tuple, _Units] = {}
 
     def unit(self, unit: str, rate: float, key: int) -> list[int]:
         """Ids of one unit (spaces as the model's mark); key 0 and rate 0 for plain encoding."""
@@ -119,19 +134,12 @@ class PieceModel:
         """Ids of the text with the model's dummy space in front."""
         if not text:
             return np.zeros(0, np.uint32)
-        cache, tag = self.cache, (seed, variant, rate)
-        parts = []
-        for unit in _UNIT.findall(" " + text):
-            got = cache.get((unit, tag))
-            if got is None:
-                key = xxhash.xxh3_64_intdigest(f"{seed}:{variant}:{unit}".encode("utf-8", "replace"))
-                got = np.array(self.unit(unit.replace(SPACE, LITERAL).replace(" ", SPACE), rate, key), "<u4").tobytes()
-                if len(cache) >= self.limit:
-                    cache.clear()
-                if len(unit) <= 64:
-                    cache[(unit, tag)] = got
-            parts.append(got)
-        return np.frombuffer(b"".join(parts), "<u4")
+        tag = (rate, seed, variant)
+        if tag not in self.caches:
+            if len(self.caches) >= 8:
+                self.caches.clear()
+            self.caches[tag] = _Units(self, *tag)
+        return np.frombuffer(b"".join(map(self.caches[tag].__getitem__, _UNIT.findall(" " + text))), "<u4")
 
     def decode(self, ids) -> str:
         return b"".join([self.texts[k] for k in ids]).decode("utf-8", "replace")[1:]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out
+from .common import RecentCache, held_out
 
 BITS = 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -53,18 +53,11 @@ def token_shape(token: str) -> str:
     return f"{lead[-2:]}{case}{min(len(core).bit_length(), 5)}{trail[:3]}"
 
 
-class _Tokens(dict):
-    """token -> 64-bit code: 32 bits of the token over 32 bits of its shape; emptied at a fixed size."""
+class _Tokens(RecentCache):
+    """token -> 64-bit code: 32 bits of the token over 32 bits of its shape."""
 
-    limit = 200_000
-
-    def __missing__(self, token: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        code = zlib.crc32(token.encode("utf-8", "replace")) << 32 | zlib.crc32(token_shape(token).encode("utf-8", "replace"))
-        if len(token) <= 64:
-            self[token] = code
-        return code
+    def make(self, token: str) -> int:
+        return zlib.crc32(token.encode("utf-8", "replace")) << 32 | zlib.crc32(token_shape(token).encode("utf-8", "replace"))
 
 
 _tokens = _Tokens()

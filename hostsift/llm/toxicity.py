@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, held_out
+from .common import RecentCache, Scratch, held_out
 from .quality import fit_logistic, labelled_sample, sigmoid
 
 # Abusive terms, ordinary words that stand within an edit of one, look-alike
@@ -152,19 +152,15 @@ class FuzzyLexicon:
 _WORDS = re.compile(r"[^\W_]+")
 
 
-class HitFinder(dict):
-    """White-space token -> kind of hit (0: none); emptied at a fixed size."""
-
-    limit = 200_000
+class HitFinder(RecentCache):
+    """White-space token -> kind of hit (0: none)."""
 
     def __init__(self, learned: list[str] = (), stems: list[str] = ()):
         super().__init__()
         self.lexicon = FuzzyLexicon(TERMS, learned, stems)
         self.ordinary = frozenset(ORDINARY) - PLAIN_FORMS
 
-    def __missing__(self, chunk: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
+    def make(self, chunk: str) -> int:
         low = chunk.lower()
         words = _WORDS.findall(low)
         found = [self._kind(w) for w in words if len(w) <= 40]
@@ -175,10 +171,7 @@ class HitFinder(dict):
             if alike != low:
                 forms = set(_WORDS.findall(alike.rstrip("i")) + _WORDS.findall(alike)) - set(words)
                 found += [self._kind(w, ONE_EDIT) for w in forms]
-        code = min((f for f in found if f), default=0)
-        if len(chunk) <= 64:
-            self[chunk] = code
-        return code
+        return min((f for f in found if f), default=0)
 
     def _kind(self, word: str, least: int = 0) -> int:
         if word in self.ordinary:
