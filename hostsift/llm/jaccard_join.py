@@ -97,7 +97,7 @@ def _signatures(width: int, percent: int):
                 n = len(tokens)
                 digest = blake2b(tokens.tobytes(), digest_size=16).digest()
                 miss = n - _needed(n, percent)
-                size = min(n, miss + 1 + miss // 2)
+                size = min(n, 2 * miss + 1)
                 prefix = None
                 if n and digest not in emitted:
                     if len(emitted) >= 200_000:
@@ -171,6 +171,8 @@ def jaccard_components(
     unshared = alone.groupBy("key").agg(F.count("*").alias("unshared"))
     left = sets.filter("node IS NOT NULL").join(unshared, "key", "left").filter(F.col("size") - F.coalesce("unshared", F.lit(0)) >= F.col("need"))
     left = scratch.save(left.select("node", "digest"), "left")
+    slim = scratch.save(signed.select("doc_id", "n", "digest"), "slim")
+    scratch.drop("signed")
     run, schema = _arrays(width, percent)
     texts = base.join(left, base["doc_id"] == left["node"]).select("node", "text", "digest")
     arrays = scratch.save(texts.mapInPandas(run, schema).dropDuplicates(["node"]), "arrays")
@@ -211,7 +213,7 @@ def jaccard_components(
     more = scratch.save(_verified(second, arrays, percent), "links-2")
     final = scratch.save(connected_components(links.unionByName(more), scratch, "cc-2"), "final") if not more.isEmpty() else part
     by_set = sets.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    return signed.select("doc_id", "n", "digest").join(by_set, "digest", "left").select(
+    return slim.join(by_set, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
