@@ -20,6 +20,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ from .common import Scratch
 CAPACITY = 4096
 SHARD = 8192
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 3, 2, 4, 6
+#: Characters of text tokenised together.
+ENCODE_AT_ONCE = 1_000_000
 #: Tails of so many shards are packed together in the last step.
 TAIL_SHARDS = 256
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -40,39 +43,72 @@ _CONTROL = re.compile("[\x1c-\x1f]")
 _SPLIT = re.compile(r"[ \t-\r]+")
 
 
-class TokenBytes(dict):
-    """White-space token -> its ids as little-endian unsigned 32-bit bytes; emptied at a fixed size.
+class TokenBytes:
+    """Texts -> their ids as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and no id spans it, so the ids of a text are
-    those of its white-space tokens, one after another.
+    The tokenizer drops white space and no id spans it, so the ids of a text are those
+    of its white-space tokens, one after another.  Tokens that are not known yet are
+    encoded together, a batch of texts at a time, and told apart by their places in the
+    joined string.  Known tokens are kept in two generations of bounded size.
     """
 
-    limit = 300_000
+    limit = 400_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
-
-    def encode(self, text: str | None) -> bytes:
-        text = text or ""
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, chunks: list[str]) -> None:
+        made = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
+        ids = np.array(made.ids, "<u4").tobytes()
+        starts = np.array([s for s, _ in made.offsets], np.int64)
+        ends = np.cumsum([len(c) + 1 for c in chunks])
+        cuts = (np.searchsorted(starts, ends) * 4).tolist()
+        low = 0
+        for chunk, high in zip(chunks, cuts, strict=True):
+            self.young[chunk] = ids[low:high]
+            low = high
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
         # str.split also cuts at 1C to 1F, which the tokenizer keeps.
-        chunks = _SPLIT.split(text) if _CONTROL.search(text) else text.split()
-        return b"".join(map(self.__getitem__, chunks))
+        split = [_SPLIT.split(t) if t and _CONTROL.search(t) else (t or "").split() for t in texts]
+        new = []
+        for chunk in set(chain.from_iterable(split)).difference(self.young):
+            known = self.old.get(chunk)
+            if known is None:
+                new.append(chunk)
+            else:
+                self.young[chunk] = known
+        for at in range(0, len(new), 20_000):
+            self._learn(new[at : at + 20_000])
+        out = [b"".join(map(self.young.__getitem__, chunks)) for chunks in split]
+        for chunk in new:
+            if len(chunk) > 64:
+                del self.young[chunk]
+        return out
 
 
 _encoders: dict[str, TokenBytes] = {}
 
 
+def spans_of(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` characters; a longer text is a range of its own."""
+    low, held = 0, 0
+    for k, t in enumerate(texts):
+        n = len(t or "")
+        if k > low and held + n > size:
+            yield low, k
+            low, held = k, 0
+        held += n
+    if low < len(texts):
+        yield low, len(texts)
+
+
 def encoder(path: str) -> TokenBytes:
     if path not in _encoders:
         _encoders[path] = TokenBytes(path)
@@ -86,15 +122,17 @@ def cut_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capa
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         context = TaskContext.get()
         uid = (context.partitionId() if context else 0) << 40
-        encode = encoder(tokenizer).encode
+        encode_all = encoder(tokenizer).encode_all
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                data = encode(text) + end
-                for piece, at in enumerate(range(0, len(data), width)):
-                    part = data[at : at + width]
-                    rows.append((uid, doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                    uid += 1
+            ids, texts = batch["doc_id"].astype("Int64").tolist(), batch["text"].tolist()
+            for low, high in spans_of(texts, ENCODE_AT_ONCE):
+                for doc, data in zip(ids[low:high], encode_all(texts[low:high]), strict=True):
+                    data += end
+                    for piece, at in enumerate(range(0, len(data), width)):
+                        part = data[at : at + width]
+                        rows.append((uid, doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                        uid += 1
             made = pd.DataFrame(rows, columns=["uid", "doc_id", "piece", "start", "length", "ids_crc32"])
             made["doc_id"] = made["doc_id"].astype("Int64")
             yield made
@@ -210,12 +248,13 @@ def island_step(capacity: int, epoch: int):
     return run
 
 
-def pack_shards(shards: DataFrame, capacity: int, scratch: Scratch, name: str, islands: int, epochs: int) -> DataFrame:
-    """shard -> elite (bin of each length, in the order of lengths)."""
+def pack_shards(shards: DataFrame, count: int, capacity: int, scratch: Scratch, name: str, islands: int, epochs: int) -> DataFrame:
+    """shard -> elite (bin of each length, in the order of lengths); each island is a task of its own, up to 4096 tasks."""
+    tasks = min(4096, count * islands)
     none = F.array().cast("array<array<int>>")
     state = shards.select("shard", "lengths", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), none.alias("guests"))
     done = scratch.save(
-        state.repartition("shard", "island").mapInPandas(island_step(capacity, 0), STATE), f"{name}-0"
+        state.repartition(tasks, "shard", "island").mapInPandas(island_step(capacity, 0), STATE), f"{name}-0"
     )
     for epoch in range(1, epochs):
         at_bound = done.filter("bins <= bound").select("shard").distinct()
@@ -224,7 +263,7 @@ def pack_shards(shards: DataFrame, capacity: int, scratch: Scratch, name: str, i
             break
         moved = open_.select("shard", ((F.col("island") + 1) % islands).alias("island"), F.col("elite").alias("guest"))
         step = open_.join(moved, ["shard", "island"]).select("shard", "island", "lengths", F.array("elite", "guest").alias("guests"))
-        after = step.repartition("shard", "island").mapInPandas(island_step(capacity, epoch), STATE)
+        after = step.repartition(tasks, "shard", "island").mapInPandas(island_step(capacity, epoch), STATE)
         done = scratch.save(after.unionByName(done.join(at_bound, "shard", "left_semi")), f"{name}-{epoch}")
     return done.groupBy("shard").agg(F.max_by("elite", F.struct("fitness", -F.col("island"))).alias("elite"))
 
@@ -262,7 +301,7 @@ def pack_documents(
         _sharded(loose.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(count)))), "shards"
     )
     lengths = F.transform("items", lambda x: x["length"].cast("int"))
-    elites = pack_shards(shards.select("shard", lengths.alias("lengths")), capacity, scratch, "islands", islands, epochs)
+    elites = pack_shards(shards.select("shard", lengths.alias("lengths")), count, capacity, scratch, "islands", islands, epochs)
     placed = scratch.save(_placed(shards, elites), "placed")
 
     # The least-filled sequence of each shard, packed again with those of other shards.
@@ -271,7 +310,7 @@ def pack_documents(
     marked = placed.join(tails, "shard").withColumn("tail", F.col("bin") == F.col("tail_bin"))
     group = (-1 - F.floor(F.col("shard") / TAIL_SHARDS)).cast("long")
     tail_shards = scratch.save(_sharded(marked.filter("tail").withColumn("shard", group)), "tail-shards")
-    tail_elites = pack_shards(tail_shards.select("shard", lengths.alias("lengths")), capacity, scratch, "tails", islands, epochs)
+    tail_elites = pack_shards(tail_shards.select("shard", lengths.alias("lengths")), -(-count // TAIL_SHARDS), capacity, scratch, "tails", islands, epochs)
     columns = ["shard", "bin", "uid", "doc_id", "piece", "start", "length", "ids_crc32"]
     all_placed = marked.filter(~F.col("tail")).select(*columns).unionByName(_placed(tail_shards, tail_elites).select(*columns))
 
