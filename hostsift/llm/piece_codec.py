@@ -21,8 +21,10 @@ through where names do not clash with the output's.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,22 +40,29 @@ SPACE = "▁"
 #: Stands for a "▁" of the text itself, which must not be read back as a space; no text holds it.
 LITERAL = "\udc81"
 _UNIT = re.compile(r" *[^ ]+| +")
-_SCALE = float(1 << 64)
+_NONE = float("inf")
+#: Units of up to so many characters keep their agenda in a list.
+SHORT = 64
 
 
-class _Units(RecentCache):
-    """Unit -> bytes of its ids under one seed, rate and variant."""
+def draws_of(tag: bytes, unit: str) -> tuple[int, ...]:
+    """The keyed hash of a unit as 32 draws of 16 bits; a candidate's place and sizes pick its draw."""
+    return struct.unpack("<32H", hashlib.blake2b(unit.encode("utf-8", "replace"), key=tag).digest())
+
 
-    limit = 100_000
+class _Units(RecentCache):
+    """Unit without its first space -> bytes of its ids under one seed, rate and variant."""
 
     def __init__(self, owner: PieceModel, rate: float, seed: int, variant: int):
         super().__init__()
-        self.owner, self.rate, self.tag = owner, rate, f"{seed}:{variant}:"
+        self.owner, self.rate, self.tag = owner, rate, f"{seed}:{variant}".encode()[:64]
 
-    def make(self, unit: str) -> bytes:
-        key = xxhash.xxh3_64_intdigest((self.tag + unit).encode("utf-8", "replace"))
+    def make(self, rest: str) -> bytes:
+        unit = " " + rest
+        draws = draws_of(self.tag, unit) if self.rate > 0 else None
         marked = unit.replace(SPACE, LITERAL).replace(" ", SPACE)
-        return np.array(self.owner.unit(marked, self.rate, key), "<u4").tobytes()
+        ids = self.owner.unit(marked, self.rate, draws)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class PieceModel:
@@ -80,14 +89,43 @@ class PieceModel:
                 self.texts.append(piece.replace(SPACE, " ").encode())
         self.caches: dict[tuple, _Units] = {}
 
-    def unit(self, unit: str, rate: float, key: int) -> list[int]:
-        """Ids of one unit (spaces as the model's mark); key 0 and rate 0 for plain encoding."""
-        n = len(unit)
-        rank = self.rank
-        if rate <= 0 and unit in self.ids and n == 1:
-            return [self.ids[unit]]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        size = [1] * n
+    def unit(self, unit: str, rate: float = 0.0, draws: tuple[int, ...] | None = None) -> list[int]:
+        """Ids of one unit (spaces as the model's mark); rate 0 for plain encoding."""
+        pieces = self._short(unit, rate, draws) if len(unit) <= SHORT else self._long(unit, rate, draws)
+        out = []
+        for piece in pieces:
+            known = self.ids.get(piece)
+            if known is None:
+                out += [self.bytes[b] for b in (SPACE if piece == LITERAL else piece).encode("utf-8", "replace")]
+            else:
+                out.append(known)
+        return out
+
+    def _short(self, unit: str, rate: float, draws: tuple[int, ...] | None) -> list[str]:
+        """The agenda as a plain list of ranks: its smallest, leftmost first, is the next candidate."""
+        rank, none, bar = self.rank, _NONE, rate * 65536
+        pieces, starts = list(unit), list(range(len(unit)))
+        agenda = [rank.get(a + b, none) for a, b in zip(pieces, pieces[1:], strict=False)]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            k = agenda.index(best)
+            if draws and draws[(starts[k] * 5 + len(pieces[k]) * 11 + len(pieces[k + 1]) * 3) & 31] < bar:
+                agenda[k] = none
+                continue
+            pieces[k] += pieces.pop(k + 1)
+            del starts[k + 1], agenda[k]
+            if k:
+                agenda[k - 1] = rank.get(pieces[k - 1] + pieces[k], none)
+            if k < len(agenda):
+                agenda[k] = rank.get(pieces[k] + pieces[k + 1], none)
+        return pieces
+
+    def _long(self, unit: str, rate: float, draws: tuple[int, ...] | None) -> list[str]:
+        """The same with a heap, for units where a list would take time in the square of their length."""
+        n, rank = len(unit), self.rank
+        after, before, size = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
         agenda: list[tuple[float, int, int, int]] = []
 
         def offer(left: int) -> None:
@@ -99,19 +137,12 @@ class PieceModel:
 
         for k in range(n - 1):
             offer(k)
-        bar = rate * _SCALE
+        bar = rate * 65536
         while agenda:
             _, left, a, b = heapq.heappop(agenda)
-            if size[left] != a:
-                continue
             right = left + a
-            if right >= n or size[right] != b:
+            if size[left] != a or right >= n or size[right] != b or (draws and draws[(left * 5 + a * 11 + b * 3) & 31] < bar):
                 continue
-            if bar:
-                x = (key ^ (left * 0x9E3779B97F4A7C15 + a * 0xC2B2AE3D27D4EB4F + b * 0x165667B19E3779F9)) & 0xFFFFFFFFFFFFFFFF
-                x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF
-                if (x ^ x >> 32) < bar:
-                    continue
             size[left], size[right] = a + b, 0
             after[left] = after[right]
             if after[left] < n:
@@ -121,12 +152,7 @@ class PieceModel:
                 offer(before[left])
         out, k = [], 0
         while k < n:
-            piece = unit[k : k + size[k]]
-            known = self.ids.get(piece)
-            if known is None:
-                out += [self.bytes[b] for b in (SPACE if piece == LITERAL else piece).encode("utf-8", "replace")]
-            else:
-                out.append(known)
+            out.append(unit[k : k + size[k]])
             k += size[k]
         return out
 
@@ -139,10 +165,13 @@ class PieceModel:
             if len(self.caches) >= 8:
                 self.caches.clear()
             self.caches[tag] = _Units(self, *tag)
-        return np.frombuffer(b"".join(map(self.caches[tag].__getitem__, _UNIT.findall(" " + text))), "<u4")
+        # Most texts have single spaces only; then the units are what stands between them.
+        plain = "  " not in text and text[0] != " "
+        rests = text.split(" ") if plain else [u[1:] for u in _UNIT.findall(" " + text)]
+        return np.frombuffer(b"".join(map(self.caches[tag].__getitem__, rests)), "<u4")
 
     def decode(self, ids) -> str:
-        return b"".join([self.texts[k] for k in ids]).decode("utf-8", "replace")[1:]
+        return b"".join(map(self.texts.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).decode("utf-8", "replace")[1:]
 
 
 _models: dict[str, PieceModel] = {}
@@ -154,8 +183,13 @@ def model(path: str) -> PieceModel:
     return _models[path]
 
 
+def variant_of(doc, seed: int, variants: int) -> int:
+    """The variant of a document's units, by keyed hash of its id."""
+    return 0 if pd.isna(doc) else xxhash.xxh3_64_intdigest(f"{seed}:{int(doc) if isinstance(doc, float) else doc}") % variants
+
+
 def encode_pieces(
-    docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0, variants: int = 4,
+    docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0, variants: int = 2,
     id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids",
 ) -> DataFrame:
     """The documents with ``ids_col``, an array of piece ids."""
@@ -167,8 +201,7 @@ def encode_pieces(
         for batch in batches:
             made = []
             for doc, text in zip(batch[id_col], batch[text_col], strict=True):
-                variant = 0 if pd.isna(doc) else xxhash.xxh3_64_intdigest(f"{seed}:{int(doc) if isinstance(doc, float) else doc}") % variants
-                made.append(None if text is None else encode(text, rate, seed, variant).astype(np.int32))
+                made.append(None if text is None else encode(text, rate, seed, variant_of(doc, seed, variants)).astype(np.int32))
             yield batch.drop(columns=[ids_col], errors="ignore").assign(**{ids_col: made})
 
     return docs.mapInPandas(run, schema)
@@ -187,11 +220,21 @@ def decode_pieces(encoded: DataFrame, path: str, ids_col: str = "ids", text_col:
     return encoded.mapInPandas(run, schema)
 
 
-def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0) -> DataFrame:
-    """One row a document: doc_id, n_pieces, ids_sha256 (of the ids joined by commas), restored (the ids decode to the text)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    decoded = decode_pieces(encode_pieces(rows, path, rate, seed), path)
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        (F.col("decoded") == F.col("text")).alias("restored"),
-    )
+def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0, variants: int = 2) -> DataFrame:
+    """One row a document: doc_id, n_pieces, ids_sha256 (of the little-endian 32-bit ids), restored (the ids decode to the text).
+
+    Encodes and decodes in one pass, so the ids of a document are dropped once they are told.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codec = model(path)
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
+                ids = codec.encode(text or "", rate, seed, variant_of(doc, seed, variants))
+                rows.append((doc, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), codec.decode(ids) == (text or "")))
+            made = pd.DataFrame(rows, columns=["doc_id", "n_pieces", "ids_sha256", "restored"])
+            yield made.assign(doc_id=made["doc_id"].astype("Int64"))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInPandas(run, "doc_id long, n_pieces long, ids_sha256 string, restored boolean")
