@@ -8,8 +8,9 @@ orders are used:
 1. Hash order.  An extended prefix leaves a set no partner unless enough of its tokens
    occur in another set.  Counting needs no join: a token held by one set only credits
    that set, and the credits are summed.
-2. Rarest-first order over the sets that remain.  Sharing a prefix token here, at
-   places and sizes that still allow the overlap, makes a candidate.
+2. Rarest-first order over the sets that remain.  Sharing a prefix token here, with
+   places, sizes and parities (128 bits a set) that still allow the overlap, makes a
+   candidate.
 3. A second hash order.  A candidate must share a prefix token here too.
 
 Equal sets are one node throughout, so copies are never expanded.  A list of sets that
@@ -37,24 +38,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import RecentCache, Scratch
 from .components import connected_components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-class _WordCodes(dict):
-    """Word (bytes) -> 64-bit hash; emptied at a fixed size."""
+class _WordCodes(RecentCache):
+    """Word (bytes) -> 64-bit hash."""
 
-    limit = 200_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        code = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = code
-        return code
+    make = staticmethod(xxhash.xxh3_64_intdigest)
 
 
 _codes = _WordCodes()
@@ -97,7 +90,7 @@ def _signatures(width: int, percent: int):
                 n = len(tokens)
                 digest = blake2b(tokens.tobytes(), digest_size=16).digest()
                 miss = n - _needed(n, percent)
-                size = min(n, 2 * miss + 1)
+                size = min(n, miss + 1 + min(miss, n // 10))
                 prefix = None
                 if n and digest not in emitted:
                     if len(emitted) >= 200_000:
@@ -113,7 +106,7 @@ def _signatures(width: int, percent: int):
 
 
 def _arrays(width: int, percent: int):
-    """node, n, tokens and the prefix in the second hash order, for rows whose set is still the expected one."""
+    """node, n, tokens, the prefix in the second hash order and 128 parities, for rows whose set is still the expected one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -127,16 +120,28 @@ def _arrays(width: int, percent: int):
                 other = tokens * _A
                 other ^= other >> np.uint64(32)
                 second = tokens[np.argpartition(other * _B, size - 1)[:size]] if size < n else tokens
-                rows.append((node, n, _long(tokens), _long(second)))
-            yield pd.DataFrame(rows, columns=["node", "n", "tokens", "second"])
-
-    return run, "node long, n long, tokens array<long>, second array<long>"
-
-
-def _compatible(percent: int, n_a: Column, n_b: Column, at_a: Column, at_b: Column) -> Column:
-    """Sizes and places of a shared token that still allow the overlap (the first shared token of a linked pair passes)."""
-    overlap = F.ceil(F.lit(percent) * (n_a + n_b) / F.lit(100.0 + percent) - F.lit(1e-9))
-    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (F.least(n_a - at_a, n_b - at_b) >= overlap)
+                odd = np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=128) & 1
+                b0, b1 = np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+                rows.append((node, n, _long(tokens), _long(second), b0, b1))
+            yield pd.DataFrame(rows, columns=["node", "n", "tokens", "second", "b0", "b1"])
+
+    return run, "node long, n long, tokens array<long>, second array<long>, b0 long, b1 long"
+
+
+def _compatible(percent: int, a: str, b: str) -> Column:
+    """Sizes, places of a shared token and parities that still allow the overlap.
+
+    The first shared token of a linked pair passes: behind it each side has room for the
+    overlap, and parities differ in no more bits than the sets in tokens.  ``a`` and ``b``
+    are the prefixes of the columns n, at, b0, b1 of the two sides.
+    """
+    x, y = (lambda c: F.col(f"{a}{c}")), (lambda c: F.col(f"{b}{c}"))
+    overlap = F.ceil(F.lit(percent) * (x("n") + y("n")) / F.lit(100.0 + percent) - F.lit(1e-9))
+    differ = F.bit_count(x("b0").bitwiseXOR(y("b0"))) + F.bit_count(x("b1").bitwiseXOR(y("b1")))
+    return (
+        (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent)
+        & (F.least(x("n") - x("at"), y("n") - y("at")) >= overlap) & (differ <= x("n") + y("n") - 2 * overlap)
+    )
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
@@ -180,20 +185,21 @@ def jaccard_components(
     # Order 2: rarest first.  Tokens of one set only take the first places and need no row.
     rows = arrays.select("node", "n", F.explode("tokens").alias("token"))
     often = rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    per_set = rows.join(often, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    per_set = rows.join(often, "token").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    per_set = per_set.join(arrays.select("node", "b0", "b1"), "node")
     novel = F.col("n") - F.size("shared")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0) - F.lit(1e-9)) + 1
+    own = ["node", "n", "b0", "b1"]
     postings = per_set.withColumn("novel", novel).withColumn("take", F.greatest(prefix - novel, F.lit(0)).cast("int")).select(
-        "node", "n", "novel", F.posexplode(F.expr("slice(shared, 1, take)")).alias("at", "s")
-    ).select(F.col("s.token").alias("token"), "node", "n", (F.col("novel") + F.col("at")).alias("at"))
+        *own, "novel", F.posexplode(F.expr("slice(shared, 1, take)")).alias("at", "s")
+    ).select(F.col("s.token").alias("token"), *own, (F.col("novel") + F.col("at")).alias("at"))
     postings = scratch.save(postings, "postings")
-    pivots = postings.groupBy("token").agg(F.min(F.struct("at", "node", "n")).alias("p"), F.count("*").alias("held")).filter("held > 1")
-    pivots = scratch.save(pivots.select("token", F.col("p.at").alias("p_at"), F.col("p.node").alias("pivot"), F.col("p.n").alias("p_n")), "pivots")
+    pivots = postings.groupBy("token").agg(F.min(F.struct("at", *own)).alias("p"), F.count("*").alias("held")).filter("held > 1")
+    pivots = scratch.save(pivots.select("token", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("at", *own)]), "pivots")
     listed = postings.join(pivots, "token")
     first = (
-        listed.filter(F.col("node") != F.col("pivot"))
-        .filter(_compatible(percent, F.col("n"), F.col("p_n"), F.col("at"), F.col("p_at")))
-        .select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
+        listed.filter((F.col("node") != F.col("p_node")) & _compatible(percent, "", "p_"))
+        .select(F.greatest("node", "p_node").alias("u"), F.least("node", "p_node").alias("v")).distinct()
     )
     links = scratch.save(_verified(first, arrays, percent), "links-1")
     part = scratch.save(connected_components(links, scratch, "cc-1"), "part-1")
@@ -202,13 +208,14 @@ def jaccard_components(
     named = lambda df, node, out: df.join(
         part.select(F.col("node").alias(node), F.col("component").alias("__c")), node, "left"
     ).withColumn(out, F.coalesce("__c", node)).drop("__c")
-    placed = scratch.save(named(named(listed, "node", "c"), "pivot", "p_c"), "placed")
-    loose = placed.filter("c != p_c").select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("at").alias("a_at"), F.col("c").alias("a_c"))
+    placed = named(named(listed.select("token", *own, "at", "p_node"), "node", "c"), "p_node", "p_c")
+    placed = scratch.save(placed, "placed")
+    loose = placed.filter("c != p_c").select("token", *[F.col(c).alias(f"a_{c}") for c in ("at", "c", *own)])
     second = (
         loose.join(placed, "token")
-        .filter((F.col("a_c") != F.col("c")) & (F.col("node") != F.col("pivot")) & ((F.col("c") == F.col("p_c")) | (F.col("a") < F.col("node"))))
-        .filter(_compatible(percent, F.col("a_n"), F.col("n"), F.col("a_at"), F.col("at")))
-        .select(F.greatest("a", "node").alias("u"), F.least("a", "node").alias("v")).distinct()
+        .filter((F.col("a_c") != F.col("c")) & (F.col("node") != F.col("p_node")) & ((F.col("c") == F.col("p_c")) | (F.col("a_node") < F.col("node"))))
+        .filter(_compatible(percent, "a_", ""))
+        .select(F.greatest("a_node", "node").alias("u"), F.least("a_node", "node").alias("v")).distinct()
     )
     more = scratch.save(_verified(second, arrays, percent), "links-2")
     final = scratch.save(connected_components(links.unionByName(more), scratch, "cc-2"), "final") if not more.isEmpty() else part
