@@ -4,8 +4,9 @@ A document's segments are its lines and, where its size may match a template, th
 text.  A segment is normalised (lower case, runs of other than letters and digits as one
 space).  Dice = 2 |A and B| / (|A| + |B|) over distinct word bigrams; to reach ``least`` a
 segment must have between least / (2 - least) and (2 - least) / least times a template's
-bigrams, so segments outside every template's bounds are dropped by their word count
-before bigrams are made, and each template meets only segments within its own bounds.
+bigrams, so segments outside every template's bounds are dropped before they are compared, and each
+template meets only segments within its own bounds.  A segment without any of a few telling
+words, one of which every match must hold, is dropped before its words are counted.
 Bigrams join the templates' bigrams by equality; the template table is fixed, so it is
 broadcast.
 
@@ -17,6 +18,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +72,34 @@ def template_bigrams(templates: list[tuple[str, str]]) -> list[tuple[int, str, i
     return rows
 
 
+def telling_words(templates: list[tuple[str, str]], least: float) -> list[str]:
+    """Words of which every matching segment holds one, chosen to be few and long.
+
+    A match shares at least least / (2 - least) of a template's bigrams, so of any set of
+    bigrams larger than the rest it holds one, and with it that bigram's words.  Words are
+    added until those of each template stand in that many of its bigrams.
+    """
+    by_template: dict[int, list[str]] = {}
+    for number, _, _, gram in template_bigrams(templates):
+        by_template.setdefault(number, []).append(gram)
+    holds = lambda word, gram: any(word in part if len(word) > 3 else word == part for part in gram.split())
+    chosen: list[str] = []
+    for grams in sorted(by_template.values(), key=len):
+        wanted = len(grams) - math.ceil(len(grams) * least / (2 - least) - 1e-9) + 1
+        open_ = [g for g in grams if not any(holds(w, g) for w in chosen)]
+        while len(grams) - len(open_) < wanted:
+            words = {w for g in open_ for w in g.split()}
+            chosen.append(max(words, key=lambda w: (len(w) > 4, sum(holds(w, g) for g in open_) * min(len(w), 8), len(w), w)))
+            open_ = [g for g in open_ if not holds(chosen[-1], g)]
+    return sorted(w for w in chosen if not any(v != w and len(v) > 3 and v in w for v in chosen))
+
+
+def telling_pattern(templates: list[tuple[str, str]], least: float) -> str:
+    """Finds a telling word in lower case; words of three letters and fewer only where they stand alone."""
+    alone = lambda w: rf"(?<![\p{{L}}\p{{N}}]){w}(?![\p{{L}}\p{{N}}])"
+    return "|".join(w if len(w) > 3 else alone(w) for w in telling_words(templates, least))
+
+
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(template_bigrams(templates), "template int, license string, template_size int, gram string")
 
@@ -82,13 +112,16 @@ def license_matches(
     sizes = [r[2] for r in template_bigrams(templates)]
     fewest, most = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
     text = F.coalesce(F.col(text_col), F.lit(""))
+    telling = telling_pattern(templates, least)
     # A segment of b distinct bigrams has more than b words; repeats can only add words, so only the
     # lower bound can be told from the count of words.  The upper bound is told from the bigrams.
     segments = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"),
-        F.posexplode(F.concat(F.array(text), F.split(text, "\n"))).alias("segment", "line"),
-    ).filter(F.length("line") > 2 * fewest)
-    words = F.filter(F.split(F.lower("line"), NOT_WORD), lambda w: w != "")
+        F.lower(text).alias("low"),
+    ).filter(F.col("low").rlike(telling)).select(
+        "doc_id", "text_key", F.posexplode(F.concat(F.array("low"), F.split("low", "\n"))).alias("segment", "line")
+    ).filter((F.length("line") > 2 * fewest) & F.col("line").rlike(telling))
+    words = F.filter(F.split("line", NOT_WORD), lambda w: w != "")
     last = F.greatest(F.size("words") - 1, F.lit(0))  # Spark may test the bigrams before the word count
     grams = F.array_distinct(
         F.zip_with(F.slice("words", 1, last), F.slice("words", 2, last), lambda a, b: F.concat_ws(" ", a, b))
