@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -26,7 +27,11 @@ def duck():
 
 def as_rows(df: pd.DataFrame):
     columns = sorted(df.columns)
-    clean = lambda v: None if pd.isna(v) else int(v) if isinstance(v, float) and v.is_integer() else v
+
+    def clean(v):
+        v = v.item() if isinstance(v, np.generic) else v  # columns with nulls give numpy scalars, which print as such
+        return None if pd.isna(v) else int(v) if isinstance(v, float) and v.is_integer() else v
+
     return columns, sorted(str(tuple(clean(v) for v in r)) for r in df[columns].itertuples(index=False))
 
 
