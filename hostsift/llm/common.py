@@ -83,6 +83,11 @@ class RecentCache(dict):
     def make(self, key):
         raise NotImplementedError
 
+    def forget(self) -> None:
+        """Called at the end of a task: an idle worker must not hold memory that a later stage needs."""
+        self.old = {}
+        self.clear()
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:

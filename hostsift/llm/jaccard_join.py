@@ -47,12 +47,25 @@ _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 class _WordCodes(RecentCache):
     """Word (bytes) -> 64-bit hash."""
 
+    limit = 60_000
     make = staticmethod(xxhash.xxh3_64_intdigest)
 
 
 _codes = _WordCodes()
 
 
+def forget_codes() -> None:
+    """For the end of a task.  A function of the module, since tasks would get a copy of the cache itself."""
+    _codes.forget()
+
+
+def portions(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """The same rows in smaller batches, whose arrays of tokens take less memory."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct shingle hashes; a text of fewer words is one shingle, a text of none has none."""
     words = (text or "").encode("utf-8", "replace").lower().split()
@@ -83,7 +96,7 @@ def _signatures(width: int, percent: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         emitted: set[bytes] = set()
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
                 tokens = shingle_set(text, width)
@@ -101,6 +114,7 @@ def _signatures(width: int, percent: int):
             made = pd.DataFrame(rows, columns=["doc_id", "n", "digest", "key", "size", "need", "prefix"])
             made["doc_id"] = made["doc_id"].astype("Int64")
             yield made
+        forget_codes()
 
     return run, "doc_id long, n long, digest string, key long, size long, need long, prefix array<long>"
 
@@ -109,7 +123,7 @@ def _arrays(width: int, percent: int):
     """node, n, tokens, the prefix in the second hash order and 128 parities, for rows whose set is still the expected one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for node, text, digest in zip(batch["node"], batch["text"], batch["digest"], strict=True):
                 tokens = shingle_set(text, width)
@@ -124,6 +138,7 @@ def _arrays(width: int, percent: int):
                 b0, b1 = np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
                 rows.append((node, n, _long(tokens), _long(second), b0, b1))
             yield pd.DataFrame(rows, columns=["node", "n", "tokens", "second", "b0", "b1"])
+        forget_codes()
 
     return run, "node long, n long, tokens array<long>, second array<long>, b0 long, b1 long"
 

@@ -56,6 +56,8 @@ def token_shape(token: str) -> str:
 class _Tokens(RecentCache):
     """token -> 64-bit code: 32 bits of the token over 32 bits of its shape."""
 
+    limit = 60_000
+
     def make(self, token: str) -> int:
         return zlib.crc32(token.encode("utf-8", "replace")) << 32 | zlib.crc32(token_shape(token).encode("utf-8", "replace"))
 
@@ -63,6 +65,11 @@ class _Tokens(RecentCache):
 _tokens = _Tokens()
 
 
+def forget_tokens() -> None:
+    """For the end of a task.  A function of the module, since tasks would get a copy of the cache itself."""
+    _tokens.forget()
+
+
 def indicators(text: str | None) -> np.ndarray:
     """Sorted distinct column numbers of a text; the whole text counts."""
     words = (text or "").split()
@@ -196,6 +203,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "x": [indicators(t).tobytes() for t in batch["text"]], "y": batch["y"]})
+        forget_tokens()
 
     sample = labelled_sample(docs, labels, label_col, sample_rows).mapInPandas(pack, "doc_id long, x binary, y int").toPandas()
     sample = sample.sort_values("doc_id")
@@ -206,6 +214,7 @@ def _scored(docs: DataFrame, model, schema: T.StructType, text_col: str) -> Data
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(**{schema.names[-1]: [model.value.score(t) for t in batch[text_col]]})[schema.names]
+        forget_tokens()
 
     return docs.mapInPandas(score, schema)
 
