@@ -6,7 +6,7 @@ first n - ceil(t n) + 1 tokens of each, whatever total order ranks the tokens.
 orders are used:
 
 1. Hash order.  An extended prefix leaves a set no partner unless enough of its tokens
-   occur in another set.  Counting needs no join: a token held by one set only credits
+   occur in another set's; how many is the least over all sizes that a partner may have.  Counting needs no join: a token held by one set only credits
    that set, and the credits are summed.
 2. Rarest-first order over the sets that remain.  Sharing a prefix token here, with
    places, sizes and parities (128 bits a set) that still allow the overlap, makes a
@@ -30,6 +30,7 @@ node; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -82,9 +83,28 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(29)))
 
 
-def _needed(n, percent: int):
-    """ceil(percent n / 100)."""
-    return -(-n * percent // 100)
+def _needed(n, percent: int, whole: int = 100):
+    """ceil(percent n / whole)."""
+    return -(-n * percent // whole)
+
+
+def _reach(n, percent: int):
+    """Length of the extended prefix of a set of n tokens."""
+    miss = n - _needed(n, percent)
+    return np.minimum(n, miss + 1 + np.minimum(miss, n // 10))
+
+
+@lru_cache(maxsize=100_000)
+def _demand(n: int, percent: int) -> int:
+    """Tokens that the extended prefix of a set of n tokens shares at least with the extended prefix of any partner.
+
+    Of a pair with o common tokens the k-th common one stands at most n - o places behind
+    the k-th place of a set, so the prefixes share what both reach of them.  The least is
+    taken over all sizes m that a partner may have, with the least overlap of each.
+    """
+    m = np.arange(_needed(n, percent), n * 100 // percent + 1)
+    overlap = _needed(n + m, percent, 100 + percent)
+    return int(np.minimum(_reach(n, percent) - (n - overlap), _reach(m, percent) - (m - overlap)).min())
 
 
 def _long(a: np.ndarray) -> np.ndarray:
@@ -102,15 +122,14 @@ def _signatures(width: int, percent: int):
                 tokens = shingle_set(text, width)
                 n = len(tokens)
                 digest = blake2b(tokens.tobytes(), digest_size=16).digest()
-                miss = n - _needed(n, percent)
-                size = min(n, miss + 1 + min(miss, n // 10))
+                size = int(_reach(n, percent))
                 prefix = None
                 if n and digest not in emitted:
                     if len(emitted) >= 200_000:
                         emitted.clear()
                     emitted.add(digest)
                     prefix = _long(tokens[:size])
-                rows.append((doc, n, digest.hex(), int.from_bytes(digest[:8], "little", signed=True), size, size - miss, prefix))
+                rows.append((doc, n, digest.hex(), int.from_bytes(digest[:8], "little", signed=True), size, _demand(n, percent) if n else 0, prefix))
             made = pd.DataFrame(rows, columns=["doc_id", "n", "digest", "key", "size", "need", "prefix"])
             made["doc_id"] = made["doc_id"].astype("Int64")
             yield made

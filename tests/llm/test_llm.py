@@ -371,6 +371,24 @@ def test_jaccard_components(spark, width, percent):
     assert [got[k] for k in range(len(texts))] == brute_groups(texts, width, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_jaccard_prefixes_at_the_threshold(spark, percent):
+    """Sets of every size to 60, each with its largest superset that still links."""
+    texts = []
+    for n in range(1, 61):
+        words = [f"{n}w{k}" for k in range(n * 100 // percent + 2)]
+        texts += [" ".join(words[: n + 2]), " ".join(words)]
+        for m in range(1, 61):
+            for common in range(-(-(n + m) * percent // (100 + percent)), min(n, m) + 1):
+                a, b = [f"a{k}" for k in range(n - common)], [f"b{k}" for k in range(m - common)]
+                both = [f"c{k}" for k in range(common)]
+                for left, right in ((a + both, b + both), (a + both, both + b), (both + a, b + both)):  # own tokens first or last
+                    shared = set(left[: jaccard_join._reach(n, percent)]) & set(right[: jaccard_join._reach(m, percent)])
+                    assert len(shared) >= jaccard_join._demand(n, percent) >= 1, (n, m, common)
+    got = {r["doc_id"]: r["component_id"] for r in rows_of(jaccard_join.jaccard_components(frame(spark, texts), 3, percent))}
+    assert got == {k: k - k % 2 for k in range(len(texts))}
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (102, 101), (7, 7), (None, 3)]
     got = dict(map(tuple, components.connected_components(spark.createDataFrame(chain, "u long, v long"), Scratch(spark, "cc")).collect()))
