@@ -5,7 +5,7 @@ training rows of the toxic class hold and other training rows do not.  The trie
 terms and the automaton "within the term's edits of the word" run as one machine whose
 states are sets of (trie node, edits used).  States and transitions are made when first
 needed and kept, so a word costs one look-up a letter and most words reach the dead
-state after a few letters.  The first letter must agree; a term of 5 to 7 letters allows
+state after a few letters.  Edits count at every letter, the first included; a term of 5 to 7 letters allows
 one edit, a longer one two (learned ones one from 7 letters), a shorter one none; a
 stem accepts any ending; look-alike digits and signs are read as letters.
 
@@ -40,7 +40,8 @@ TERMS = """bastard clown coward cretin degenerate disgusting dumbass dumb filth
 imbecile jerk liar loser lunatic moron parasite pathetic retard scum stupid trash ugly vermin worthless""".split()
 ORDINARY = """brash bustard class closer clowns coined costard crash crown custard flown filthy idiom
 idiots lair lose loses loser's losers lower lowers mason moray motor poser rash roser scam slum seum
-stupor studio thrash toser trashy moral maron marron sputid sumo""".split()
+stupor studio thrash toser trashy moral maron marron sputid sumo
+toward towards howard blown boron dastard empathetic apathetic regenerate regenerated generate""".split()
 PLAIN_FORMS = {"clowns", "idiots", "losers", "trashy", "filthy", "loser's"}
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"})
 REPORTING = frozenset("said says say called calls call wrote writes quoted quotes quote reported reports told tells according shouted stated claimed word term".split())
@@ -79,6 +80,7 @@ class FuzzyLexicon:
                 self.reach.append(0)
             node = self.children[node][letter]
             self.reach[node] = max(self.reach[node], edits)
+        self.reach[0] = max(self.reach[0], edits)
         if self.ends[node] is None:
             self.ends[node] = (kind, edits)
 
@@ -88,11 +90,11 @@ class FuzzyLexicon:
         self.moves: dict[tuple[int, str], int] = {}
         self.accepts = [0]
         self.stem = [False]
-        self.start = self._state({0: 0}, at_root=True)
+        self.start = self._state({0: 0})
 
-    def _state(self, low: dict[int, int], at_root: bool = False) -> int:
+    def _state(self, low: dict[int, int]) -> int:
         """The number of a state: least edits by node, letters of the term left out taken in."""
-        todo = [] if at_root else list(low)
+        todo = list(low)
         while todo:
             node = todo.pop()
             for child in self.children[node].values():
@@ -120,11 +122,6 @@ class FuzzyLexicon:
                 low[node] = e
 
         for node, e in self.sets[state]:
-            if node == 0:
-                child = self.children[0].get(letter)
-                if child is not None:
-                    put(child, 0)
-                continue
             put(node, e + 1)
             for c, child in self.children[node].items():
                 put(child, e if c == letter else e + 1)
@@ -163,8 +160,8 @@ class HitFinder(RecentCache):
     def make(self, chunk: str) -> int:
         low = chunk.lower()
         words = _WORDS.findall(low)
-        found = [self._kind(w) for w in words if len(w) <= 40]
-        if len(chunk) <= 40 and not any(found):
+        found = [self._kind(w) for w in words]
+        if not any(found):
             if len(words) > 1 and max(map(len, words)) == 1:  # l.o.s.e.r
                 found.append(self._kind("".join(words), ONE_EDIT))
             alike = low.translate(LOOKALIKE)

@@ -421,6 +421,21 @@ def test_fuzzy_lexicon():
         assert lexicon.find(word) == {None: 0, 0: toxicity.FIXED, 1: toxicity.ONE_EDIT, 2: toxicity.TWO_EDITS}[best], word
 
 
+def test_fuzzy_lexicon_at_the_first_letter():
+    rng = random.Random(131)
+    lexicon, kinds = toxicity.FuzzyLexicon(toxicity.TERMS), {None: 0, 0: toxicity.FIXED, 1: toxicity.ONE_EDIT, 2: toxicity.TWO_EDITS}
+    for k in range(3000):
+        word = list(rng.choice(toxicity.TERMS))
+        for at in [0] * (k % 2) + [rng.randrange(len(word)) for _ in range(rng.randint(0, 2))]:
+            rng.choice([lambda: word.insert(at, rng.choice("abcxyz")), lambda: at < len(word) and word.pop(at), lambda: word.__setitem__(slice(at, at + 1), rng.choice("lxyz"))])()
+        word = "".join(word)
+        best = min((d for t in toxicity.TERMS if (d := edit_distance(t, word)) <= (0 if len(t) < 5 else 1 if len(t) < 8 else 2)), default=None)
+        assert lexicon.find(word) == kinds[best], word
+    f = toxicity.HitFinder().features
+    assert all(f(f"such {w} here")[6] > 0 for w in ("ldiot", "diot", "xmoron", "lolser")) and not f("toward the blown boron").any()
+    assert f("x" * 41 + "-idiot")[0] > 0 and f("y" * 41 + "-id1ot")[6] > 0
+
+
 def test_context_separates_quotation():
     f = toxicity.HitFinder().features
     assert f("you are a complete idiot today")[0] > 0 and f("you are a complete idiot today")[10] > 0
