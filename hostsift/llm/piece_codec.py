@@ -2,19 +2,20 @@
 
 Encoding follows the model's merge order by an agenda: the candidate merge with the best
 score comes off first.  With dropout each candidate is skipped where a keyed hash of
-(seed, variant, unit, the candidate's place and size) falls under the rate, so the same
-seed always gives the same ids and different seeds or variants give different
-segmentations of the merge type, all decoding to the same text.  A skipped merge is gone
+(seed, document id, the unit's place, the candidate's place and sizes) falls under the
+rate, so the same seed always gives the same ids, and each occurrence of a word is cut
+on its own, all decoding to the same text.  A skipped merge is gone
 for good; a candidate that later merges make is a new one.
 
 A unit is a run of spaces with the run of other characters behind it; no piece of the model
-spans two units (checked when the model is loaded), so units are encoded one by one and
-kept in a bounded cache.  Which of ``variants`` a document's units take follows the keyed
-hash of its id.
+spans two units (checked when the model is loaded), so units are encoded one by one.  A
+bounded cache keeps what no seed changes: a unit's plain ids and the candidates met on the
+way to them.  Where an occurrence skips none of these, its ids are the plain ones; else
+its agenda is run again with its own hashes.
 
 Round trip: decode(encode(text)) == text for every text, since characters without a piece
 go to byte pieces and white space is never changed.  Nulls and odd input: a null text has
-null ids and decodes to null; an empty text has no ids; a null id takes variant 0; a
+null ids and decodes to null; an empty text has no ids; null ids share one key; a
 repeated row gets equal ids; an empty table gives an empty result; other columns pass
 through where names do not clash with the output's.
 """
@@ -29,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,24 +45,49 @@ _NONE = float("inf")
 SHORT = 64
 
 
-def draws_of(tag: bytes, unit: str) -> tuple[int, ...]:
-    """The keyed hash of a unit as 32 draws of 16 bits; a candidate's place and sizes pick its draw."""
-    return struct.unpack("<32H", hashlib.blake2b(unit.encode("utf-8", "replace"), key=tag).digest())
+_MASK = (1 << 64) - 1
+_STEP, _M1, _M2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+#: A candidate's code is the sum of its place and its two sizes by these factors.
+_PLACE, _LEFT, _RIGHT = 0xD1B54A32D192ED03, 0xABC98388FB8FAC03, 0x8CB92BA72F3D8DD7
+
+
+def document_key(doc, seed: int) -> int:
+    """The keyed hash of a document's id."""
+    name = "" if pd.isna(doc) else str(int(doc) if isinstance(doc, float) else doc)
+    return int.from_bytes(hashlib.blake2b(name.encode(), key=str(seed).encode()[:64], digest_size=8).digest(), "little")
+
+
+def mixed(x: int) -> int:
+    x = ((x ^ x >> 30) * _M1) & _MASK
+    x = ((x ^ x >> 27) * _M2) & _MASK
+    return x ^ x >> 31
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The same for an array of 64-bit numbers, in place."""
+    for shift, factor in ((30, _M1), (27, _M2)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class _Units(RecentCache):
-    """Unit without its first space -> bytes of its ids under one seed, rate and variant."""
+    """Unit without its first space -> bytes of its plain ids, bytes of the codes of the candidates met."""
 
-    def __init__(self, owner: PieceModel, rate: float, seed: int, variant: int):
+    def __init__(self, owner: PieceModel):
         super().__init__()
-        self.owner, self.rate, self.tag = owner, rate, f"{seed}:{variant}".encode()[:64]
+        self.owner = owner
 
-    def make(self, rest: str) -> bytes:
-        unit = " " + rest
-        draws = draws_of(self.tag, unit) if self.rate > 0 else None
-        marked = unit.replace(SPACE, LITERAL).replace(" ", SPACE)
-        ids = self.owner.unit(marked, self.rate, draws)
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def make(self, rest: str) -> tuple[bytes, bytes]:
+        met: list[int] = []
+        ids = self.owner.unit(marked(rest), met=met)
+        return struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(met)}Q", *met)
+
+
+def marked(rest: str) -> str:
+    """The unit of ``rest`` with the model's marks for spaces."""
+    return (" " + rest).replace(SPACE, LITERAL).replace(" ", SPACE)
 
 
 class PieceModel:
@@ -87,11 +112,15 @@ class PieceModel:
                 self.ids[piece] = k
                 self.rank[piece] = -m.get_score(k)
                 self.texts.append(piece.replace(SPACE, " ").encode())
-        self.caches: dict[tuple, _Units] = {}
+        self.cache = _Units(self)
+
+    def unit(self, unit: str, bar: int = 0, key: int = 0, met: list[int] | None = None) -> list[int]:
+        """Ids of one unit (spaces as the model's mark).
 
-    def unit(self, unit: str, rate: float = 0.0, draws: tuple[int, ...] | None = None) -> list[int]:
-        """Ids of one unit (spaces as the model's mark); rate 0 for plain encoding."""
-        pieces = self._short(unit, rate, draws) if len(unit) <= SHORT else self._long(unit, rate, draws)
+        Candidates whose hash under ``key`` falls below ``bar`` (of 32 bits) are skipped; 0
+        for plain encoding, which adds the codes of the candidates taken to ``met``.
+        """
+        pieces = self._short(unit, bar, key, met) if len(unit) <= SHORT else self._long(unit, bar, key, met)
         out = []
         for piece in pieces:
             known = self.ids.get(piece)
@@ -101,9 +130,9 @@ class PieceModel:
                 out.append(known)
         return out
 
-    def _short(self, unit: str, rate: float, draws: tuple[int, ...] | None) -> list[str]:
+    def _short(self, unit: str, bar: int, key: int, met: list[int] | None) -> list[str]:
         """The agenda as a plain list of ranks: its smallest, leftmost first, is the next candidate."""
-        rank, none, bar = self.rank, _NONE, rate * 65536
+        rank, none = self.rank, _NONE
         pieces, starts = list(unit), list(range(len(unit)))
         agenda = [rank.get(a + b, none) for a, b in zip(pieces, pieces[1:], strict=False)]
         while agenda:
@@ -111,9 +140,13 @@ class PieceModel:
             if best == none:
                 break
             k = agenda.index(best)
-            if draws and draws[(starts[k] * 5 + len(pieces[k]) * 11 + len(pieces[k + 1]) * 3) & 31] < bar:
-                agenda[k] = none
-                continue
+            if bar or met is not None:
+                code = starts[k] * _PLACE + len(pieces[k]) * _LEFT + len(pieces[k + 1]) * _RIGHT
+                if met is not None:
+                    met.append(code & _MASK)
+                elif mixed((key + code) & _MASK) >> 32 < bar:
+                    agenda[k] = none
+                    continue
             pieces[k] += pieces.pop(k + 1)
             del starts[k + 1], agenda[k]
             if k:
@@ -122,7 +155,7 @@ class PieceModel:
                 agenda[k] = rank.get(pieces[k] + pieces[k + 1], none)
         return pieces
 
-    def _long(self, unit: str, rate: float, draws: tuple[int, ...] | None) -> list[str]:
+    def _long(self, unit: str, bar: int, key: int, met: list[int] | None) -> list[str]:
         """The same with a heap, for units where a list would take time in the square of their length."""
         n, rank = len(unit), self.rank
         after, before, size = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
@@ -137,12 +170,17 @@ class PieceModel:
 
         for k in range(n - 1):
             offer(k)
-        bar = rate * 65536
         while agenda:
             _, left, a, b = heapq.heappop(agenda)
             right = left + a
-            if size[left] != a or right >= n or size[right] != b or (draws and draws[(left * 5 + a * 11 + b * 3) & 31] < bar):
+            if size[left] != a or right >= n or size[right] != b:
                 continue
+            if bar or met is not None:
+                code = left * _PLACE + a * _LEFT + b * _RIGHT
+                if met is not None:
+                    met.append(code & _MASK)
+                elif mixed((key + code) & _MASK) >> 32 < bar:
+                    continue
             size[left], size[right] = a + b, 0
             after[left] = after[right]
             if after[left] < n:
@@ -156,19 +194,25 @@ class PieceModel:
             k += size[k]
         return out
 
-    def encode(self, text: str, rate: float = 0.0, seed: int = 0, variant: int = 0) -> np.ndarray:
+    def encode(self, text: str, rate: float = 0.0, seed: int = 0, doc=None) -> np.ndarray:
         """Ids of the text with the model's dummy space in front."""
         if not text:
             return np.zeros(0, np.uint32)
-        tag = (rate, seed, variant)
-        if tag not in self.caches:
-            if len(self.caches) >= 8:
-                self.caches.clear()
-            self.caches[tag] = _Units(self, *tag)
         # Most texts have single spaces only; then the units are what stands between them.
         plain = "  " not in text and text[0] != " "
         rests = text.split(" ") if plain else [u[1:] for u in _UNIT.findall(" " + text)]
-        return np.frombuffer(b"".join(map(self.caches[tag].__getitem__, rests)), "<u4")
+        known = list(map(self.cache.__getitem__, rests))
+        made = [k[0] for k in known]
+        bar = int(rate * (1 << 32))
+        if bar:
+            keys = _mixed(np.arange(1, len(rests) + 1, dtype=np.uint64) * np.uint64(_STEP) + np.uint64(document_key(doc, seed)))
+            met = [k[1] for k in known]
+            owner = np.repeat(np.arange(len(rests)), np.fromiter(map(len, met), np.int64, len(met)) // 8)
+            draws = _mixed(keys[owner] + np.frombuffer(b"".join(met), "<u8")) >> np.uint64(32)
+            for at in dict.fromkeys(owner[draws < bar].tolist()):
+                ids = self.unit(marked(rests[at]), bar, int(keys[at]))
+                made[at] = struct.pack(f"<{len(ids)}I", *ids)
+        return np.frombuffer(b"".join(made), "<u4")
 
     def decode(self, ids) -> str:
         return b"".join(map(self.texts.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).decode("utf-8", "replace")[1:]
@@ -183,13 +227,8 @@ def model(path: str) -> PieceModel:
     return _models[path]
 
 
-def variant_of(doc, seed: int, variants: int) -> int:
-    """The variant of a document's units, by keyed hash of its id."""
-    return 0 if pd.isna(doc) else xxhash.xxh3_64_intdigest(f"{seed}:{int(doc) if isinstance(doc, float) else doc}") % variants
-
-
 def encode_pieces(
-    docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0, variants: int = 2,
+    docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0,
     id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids",
 ) -> DataFrame:
     """The documents with ``ids_col``, an array of piece ids."""
@@ -201,7 +240,7 @@ def encode_pieces(
         for batch in batches:
             made = []
             for doc, text in zip(batch[id_col], batch[text_col], strict=True):
-                made.append(None if text is None else encode(text, rate, seed, variant_of(doc, seed, variants)).astype(np.int32))
+                made.append(None if text is None else encode(text, rate, seed, doc).astype(np.int32))
             yield batch.drop(columns=[ids_col], errors="ignore").assign(**{ids_col: made})
 
     return docs.mapInPandas(run, schema)
@@ -220,7 +259,7 @@ def decode_pieces(encoded: DataFrame, path: str, ids_col: str = "ids", text_col:
     return encoded.mapInPandas(run, schema)
 
 
-def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0, variants: int = 2) -> DataFrame:
+def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0) -> DataFrame:
     """One row a document: doc_id, n_pieces, ids_sha256 (of the little-endian 32-bit ids), restored (the ids decode to the text).
 
     Encodes and decodes in one pass, so the ids of a document are dropped once they are told.
@@ -231,7 +270,7 @@ def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0, v
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                ids = codec.encode(text or "", rate, seed, variant_of(doc, seed, variants))
+                ids = codec.encode(text or "", rate, seed, doc)
                 rows.append((doc, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), codec.decode(ids) == (text or "")))
             made = pd.DataFrame(rows, columns=["doc_id", "n_pieces", "ids_sha256", "restored"])
             yield made.assign(doc_id=made["doc_id"].astype("Int64"))

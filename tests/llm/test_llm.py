@@ -128,6 +128,25 @@ def test_piece_codec(spark, piece_path):
     assert runs[0] == runs[1] != runs[2]
 
 
+def test_merge_dropout_draws_each_candidate(piece_path, monkeypatch):
+    model, codec = piece_codec.PieceModel(piece_path), piece_codec
+    word = "international"
+    text, bar = " ".join([word] * 2000), int(0.1 * 2**32)
+    key = lambda doc, at: codec.mixed((codec.document_key(doc, 3) + (at + 1) * codec._STEP) & codec._MASK)
+    cuts = [tuple(model.unit(codec.marked(word), bar, key(7, at))) for at in range(2000)]
+    assert model.encode(text, 0.1, 3, 7).tolist() == [k for c in cuts for k in c]
+    met = len(model.cache[word][1]) // 8
+    unskipped = sum(c == tuple(model.encode(word).tolist()) for c in cuts) / 2000
+    assert len(set(cuts)) > 20 and unskipped > 0.9**met - 0.05
+    assert len({model.encode(word, 0.1, 3, doc).tobytes() for doc in range(300)}) > 10
+    assert model.decode(model.encode(text, 0.1, 3, 7)) == text
+    long = "".join(random.Random(3).choice("abcdefgh") for _ in range(3000))  # far beyond a period of 32
+    assert sum(model.encode(long, 0.1, 3, doc).tobytes() == model.encode(long).tobytes() for doc in range(60)) == 0
+    short = [model.unit(codec.marked(word), bar, key(7, at)) for at in range(300)]
+    monkeypatch.setattr(codec, "SHORT", 0)
+    assert short == [model.unit(codec.marked(word), bar, key(7, at)) for at in range(300)]
+
+
 # --- 3
 
 
