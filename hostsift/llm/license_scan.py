@@ -1,7 +1,7 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates, in DataFrame functions only.
 
-A document's segments are its lines and, where its size may match a template, the whole
-text.  A segment is normalised (lower case, runs of other than letters and digits as one
+A document's segments are its lines, where its size may match a template the whole text
+and, with ``runs``, every run of consecutive lines.  A segment is normalised (lower case, runs of other than letters and digits as one
 space).  Dice = 2 |A and B| / (|A| + |B|) over distinct word bigrams; to reach ``least`` a
 segment must have between least / (2 - least) and (2 - least) / least times a template's
 bigrams, so segments outside every template's bounds are dropped before they are compared, and each
@@ -10,6 +10,13 @@ words, one of which every match must hold, is dropped before its words are count
 Bigrams join the templates' bigrams by equality; the template table is fixed, so it is
 broadcast.
 
+Runs are not listed one by one.  A run can match a template only in a document that holds
+least / (2 - least) of the template's bigrams, and the best runs start and end on lines
+that hold one.  For each such first line the distinct bigrams of all runs from it are
+running sums over their last lines, since a bigram counts where it first occurs from that
+line on.  Matching runs of one template that overlap count as one match, with the best
+Dice; its segment is the negative number of its earliest line.
+
 Nulls and odd input: a null text counts as empty and has no match; a segment of fewer
 than two words has no bigram; a repeated row or id is reported once for each row, with
 the same result; ties take the template listed first (the list stands in name order); an empty table gives an
@@ -20,10 +27,14 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 # Public licence notices and texts, under their SPDX names.
 TEMPLATES: list[tuple[str, str]] = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -53,6 +64,8 @@ distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ("Proprietary", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: The full texts and the notices, for scans of runs of lines; a full text may quote a notice, so it stands first.
+FULL_TEMPLATES = [(f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))] + TEMPLATES
 #: Dice from which a segment counts as a match.
 LEAST = 0.8
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -88,8 +101,10 @@ def telling_words(templates: list[tuple[str, str]], least: float) -> list[str]:
         wanted = len(grams) - math.ceil(len(grams) * least / (2 - least) - 1e-9) + 1
         open_ = [g for g in grams if not any(holds(w, g) for w in chosen)]
         while len(grams) - len(open_) < wanted:
-            words = {w for g in open_ for w in g.split()}
-            chosen.append(max(words, key=lambda w: (len(w) > 4, sum(holds(w, g) for g in open_) * min(len(w), 8), len(w), w)))
+            words = Counter(w for g in open_ for w in set(g.split()))
+            if len(grams) < 200:  # in full texts, words inside of words are not counted
+                words = {w: sum(holds(w, g) for g in open_) for w in words}
+            chosen.append(max(words, key=lambda w: (len(w) > 4, words[w] * min(len(w), 8), len(w), w)))
             open_ = [g for g in open_ if not holds(chosen[-1], g)]
     return sorted(w for w in chosen if not any(v != w and len(v) > 3 and v in w for v in chosen))
 
@@ -144,10 +159,76 @@ def license_matches(
     return counted.select("doc_id", "text_key", "segment", "license", "template", dice.alias("dice")).filter(F.col("dice") >= least)
 
 
-def license_report(docs: DataFrame, **options) -> DataFrame:
-    """One row a document: doc_id, license (of the best match, null for none), dice, n_matches (segments with a match)."""
+def _pairs(tokens: Column | str, join) -> Column:
+    """``join`` of each token with the next."""
+    last = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.zip_with(F.slice(tokens, 1, last), F.slice(tokens, 2, last), join)
+
+
+def _words(text: Column | str) -> Column:
+    return F.filter(F.split(text, NOT_WORD), lambda w: w != "")
+
+
+def run_matches(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST
+) -> DataFrame:
+    """Matches of runs of two lines and more, in the columns of ``license_matches``."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "license")
+    share = least / (2 - least)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    fewest = min(r[2] for r in template_bigrams(templates)) * share
+    table = F.broadcast(template_table(spark, templates))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.lower(text).alias("low"))
+    base = base.filter(F.col("low").contains("\n") & F.col("low").rlike(telling_pattern(templates, least)))
+    own = ["doc_id", "text_key"]
+    held = base.withColumn("words", _words("low")).filter(F.size("words") > fewest).select(
+        *own, F.explode(F.array_distinct(_pairs("words", lambda a, b: F.concat_ws(" ", a, b)))).alias("gram")
+    )
+    able = held.join(table, "gram").groupBy(*own, "template", "license", "template_size").agg(
+        F.count_distinct("gram").alias("held")
+    ).filter(F.col("held") >= F.col("template_size") * share - 1e-9).drop("held")
+    able = scratch.save(able, "able")
+    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
+    few = base.alias("a").join(able.select(*own).distinct().alias("b"), same("a", "b"), "left_semi").dropDuplicates(own)
+    tokens = F.flatten(F.transform(F.split("low", "\n"), lambda line, k: F.transform(_words(line), lambda w: F.struct(w.alias("w"), (k + 1).alias("k")))))
+    grams = _pairs("tokens", lambda a, b: F.struct(F.concat_ws(" ", a["w"], b["w"]).alias("gram"), a["k"].alias("first"), b["k"].alias("last")))
+    placed = few.withColumn("tokens", tokens).select(*own, F.posexplode(grams).alias("at", "g")).select(*own, "at", "g.*")
+    placed = placed.withColumn("before", F.coalesce(F.lag("first").over(Window.partitionBy(*own, "gram").orderBy("at")), F.lit(0)))
+    kind = [*own, "template", "license", "template_size"]
+    hit = table.select("template", "gram", F.lit(1).alias("hit"))
+    marked = placed.alias("a").join(able.alias("b"), same("a", "b")).select("a.*", "b.template", "b.license", "b.template_size").join(
+        hit, ["template", "gram"], "left"
+    )
+    marked = scratch.save(marked, "marked")
+    starts = marked.filter("hit = 1").groupBy(*own, "template").agg(F.collect_set("first").alias("starts"))
+    counted = F.filter("starts", lambda k: (k > F.col("before")) & (k <= F.col("first")))
+    from_start = marked.alias("a").join(
+        starts.alias("b"), same("a", "b") & (F.col("a.template") == F.col("b.template"))
+    ).select("a.*", F.explode(counted).alias("start"))
+    so_far = Window.partitionBy(*kind, "start").orderBy("last")
+    sums = from_start.groupBy(*kind, "start", "last").agg(F.count("*").alias("size"), F.sum("hit").alias("common"))
+    dice = 2.0 * F.sum("common").over(so_far) / (F.sum("size").over(so_far) + F.col("template_size"))
+    found = sums.withColumn("dice", dice).filter((F.col("dice") >= least) & (F.col("last") > F.col("start")))
+    runs = found.groupBy(*kind, "start").agg(F.max("last").alias("last"), F.max("dice").alias("dice"))
+    order = Window.partitionBy(*kind).orderBy("start")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("opens", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("island", F.sum("opens").over(order))
+    return runs.groupBy(*kind, "island").agg(F.min("start").alias("start"), F.max("dice").alias("dice")).select(
+        *own, (-F.col("start")).alias("segment"), "license", "template", "dice"
+    )
+
+
+def license_report(docs: DataFrame, runs: bool = False, **options) -> DataFrame:
+    """One row a document: doc_id, license (of the best match, null for none), dice, n_matches (segments with a match).
+
+    Runs of lines are segments only with ``runs``, as the query asks for.
+    """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    best = license_matches(docs, **options).groupBy("doc_id", "text_key").agg(
+    matches = license_matches(docs, **options)
+    if runs:
+        matches = matches.unionByName(run_matches(docs, **options))
+    best = matches.groupBy("doc_id", "text_key").agg(
         F.max_by("license", F.struct("dice", -F.col("template"))).alias("license"),
         F.max("dice").alias("dice"),
         F.count_distinct("segment").alias("n_matches"),

@@ -10,7 +10,7 @@ from .common import table
 from .embedding_dedup import near_vectors
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
-from .license_scan import license_report
+from .license_scan import FULL_TEMPLATES, license_report
 from .packing import pack_documents
 from .piece_codec import piece_report
 from .quality import classify_quality
@@ -53,7 +53,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_report(table(spark, sf_dir, "documents"))
+    return license_report(table(spark, sf_dir, "documents"), runs=True, templates=FULL_TEMPLATES)
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,6 +296,37 @@ def test_licenses(spark):
         assert (r["license"], r["dice"], r["n_matches"]) == ((best[2], round(best[0], 6), len(hits)) if best else (None, None, 0))
 
 
+def test_licenses_in_runs_of_lines(spark):
+    rng = random.Random(101)
+    noise = lambda: "\n".join(prose(rng, 11) for _ in range(25))
+    full = {name: t for name, t in license_scan.FULL_TEMPLATES[: -len(license_scan.TEMPLATES)]}
+    wrap = lambda t: re.sub(r"(.{40,70}) ", r"\1\n", " ".join(t.split()))
+    header = license_scan.TEMPLATES[1][1]
+    texts = [
+        "MIT License\n\nCopyright (c) 2020 Some One\n\n" + full["MIT"],
+        noise() + "\n" + wrap(header) + "\n" + noise(),
+        noise() + "\n" + wrap(full["MIT"]) + "\n" + noise() + "\n" + wrap(full["MIT"]) + "\n" + noise(),
+        noise(),
+        noise() + "\n" + full["GPL-3.0"] + "\n" + noise(),
+        None,
+    ]
+    got = {r["doc_id"]: r for r in rows_of(license_scan.license_report(frame(spark, texts), runs=True, templates=license_scan.FULL_TEMPLATES))}
+    assert [got[k]["license"] for k in range(6)] == ["MIT", "Apache-2.0", "MIT", None, "GPL-3.0", None]
+    grams = {}
+    for n, name, _, g in license_scan.template_bigrams(license_scan.FULL_TEMPLATES):
+        grams.setdefault((n, name), set()).add(g)
+    for k in range(4):  # every run of lines
+        lines, best = texts[k].split("\n"), 0
+        for a in range(len(lines)):
+            for b in range(a + 1, min(len(lines), a + 60) + 1):
+                words = license_scan.words_of(" ".join(lines[a:b]))
+                own = set(map(" ".join, zip(words, words[1:], strict=False)))
+                best = max(best, *(2 * len(own & t) / (len(own) + len(t)) for t in grams.values()))
+        assert got[k]["dice"] == (round(best, 6) if best >= 0.8 else None), k
+    runs = [r for r in license_scan.run_matches(frame(spark, texts), templates=license_scan.FULL_TEMPLATES).collect() if r["doc_id"] == 2]
+    assert len({r["segment"] for r in runs if r["license"] == "MIT"}) == 2
+
+
 # --- 8
 
 BASE = [
