@@ -16,40 +16,64 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
+from codecs import charmap_decode
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import RecentCache, Scratch
 
 CAPACITY = 4096
 SHARD = 8192
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 3, 2, 4, 6
-#: Characters of text tokenised together.
-ENCODE_AT_ONCE = 1_000_000
 #: Tails of so many shards are packed together in the last step.
 TAIL_SHARDS = 256
-PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = ["uid", "doc_id", "piece", "start", "length", "ids_crc32"]
 
 _CONTROL = re.compile("[\x1c-\x1f]")
 _SPLIT = re.compile(r"[ \t-\r]+")
+#: Letters that the tokenizer's normaliser only puts in lower case: no marks to compose, no letter whose lower case is two.
+_SIMPLE = regex.compile(r"[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
+#: How the tokenizer cuts a white-space token.  Fixed value of the vocabulary file.
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
-class TokenBytes:
-    """Texts -> their ids as little-endian unsigned 32-bit bytes.
+class _Pieces(RecentCache):
+    """Piece in lower case -> its ids as bytes, by the tokenizer's model alone."""
+
+    def __init__(self, tokenize):
+        super().__init__()
+        self.tokenize = tokenize
+        # The model's letters for bytes: printable ones are themselves, the others follow from 256 on.
+        same = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        other = iter(range(256, 512))
+        self.letters = "".join(chr(b if b in same else next(other)) for b in range(256))
+
+    def make(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = charmap_decode(piece.encode(), "strict", self.letters)[0]
+        ids = [t.id for t in self.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class TokenBytes(RecentCache):
+    """White-space token -> its ids as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and no id spans it, so the ids of a text are those
-    of its white-space tokens, one after another.  Tokens that are not known yet are
-    encoded together, a batch of texts at a time, and told apart by their places in the
-    joined string.  Known tokens are kept in two generations of bounded size.
+    of its white-space tokens, one after another.  A token of simple letters is cut into
+    pieces as the tokenizer does, and its model encodes each piece; any other token goes
+    through the whole tokenizer.  Tokens and pieces are kept in bounded caches.
     """
 
     limit = 400_000
@@ -57,58 +81,33 @@ class TokenBytes:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        made = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
-        ids = np.array(made.ids, "<u4").tobytes()
-        starts = np.array([s for s, _ in made.offsets], np.int64)
-        ends = np.cumsum([len(c) + 1 for c in chunks])
-        cuts = (np.searchsorted(starts, ends) * 4).tolist()
-        low = 0
-        for chunk, high in zip(chunks, cuts, strict=True):
-            self.young[chunk] = ids[low:high]
-            low = high
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.young) >= self.limit:
-            self.young, self.old = {}, self.young
+        self.pieces = _Pieces(self.tokenizer.model.tokenize)
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        form = json.loads(self.tokenizer.to_str())
+        cuts = [c.get("pattern", {}).get("Regex") for c in (form["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        known = cuts[:1] == [_PIECE.pattern] and "Lowercase" in str(form["normalizer"])
+        self.simple = _SIMPLE.fullmatch if known else lambda chunk: None
+
+    def make(self, chunk: str) -> bytes:
+        word = chunk.rstrip(".,;:!?")
+        if word.isalpha() and self.simple(word):
+            ids = self.pieces[word.lower()]
+            return ids + self.pieces[chunk[len(word) :]] if len(word) < len(chunk) else ids
+        if self.simple(chunk) and not any(a in chunk for a in self.added):
+            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(chunk.lower())))
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: str | None) -> bytes:
         # str.split also cuts at 1C to 1F, which the tokenizer keeps.
-        split = [_SPLIT.split(t) if t and _CONTROL.search(t) else (t or "").split() for t in texts]
-        new = []
-        for chunk in set(chain.from_iterable(split)).difference(self.young):
-            known = self.old.get(chunk)
-            if known is None:
-                new.append(chunk)
-            else:
-                self.young[chunk] = known
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
-        out = [b"".join(map(self.young.__getitem__, chunks)) for chunks in split]
-        for chunk in new:
-            if len(chunk) > 64:
-                del self.young[chunk]
-        return out
+        chunks = _SPLIT.split(text) if text and _CONTROL.search(text) else (text or "").split()
+        return b"".join(map(self.__getitem__, chunks))
 
 
 _encoders: dict[str, TokenBytes] = {}
 
 
-def spans_of(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``size`` characters; a longer text is a range of its own."""
-    low, held = 0, 0
-    for k, t in enumerate(texts):
-        n = len(t or "")
-        if k > low and held + n > size:
-            yield low, k
-            low, held = k, 0
-        held += n
-    if low < len(texts):
-        yield low, len(texts)
-
-
 def encoder(path: str) -> TokenBytes:
     if path not in _encoders:
         _encoders[path] = TokenBytes(path)
@@ -119,26 +118,23 @@ def cut_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capa
     """One row a piece; uid numbers the rows and is fixed once the table is written."""
     width, end = 4 * capacity, np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         uid = (context.partitionId() if context else 0) << 40
-        encode_all = encoder(tokenizer).encode_all
+        encode = encoder(tokenizer).encode
         for batch in batches:
             rows = []
-            ids, texts = batch["doc_id"].astype("Int64").tolist(), batch["text"].tolist()
-            for low, high in spans_of(texts, ENCODE_AT_ONCE):
-                for doc, data in zip(ids[low:high], encode_all(texts[low:high]), strict=True):
-                    data += end
-                    for piece, at in enumerate(range(0, len(data), width)):
-                        part = data[at : at + width]
-                        rows.append((uid, doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                        uid += 1
-            made = pd.DataFrame(rows, columns=["uid", "doc_id", "piece", "start", "length", "ids_crc32"])
-            made["doc_id"] = made["doc_id"].astype("Int64")
-            yield made
+            for k, text in enumerate(batch["text"]):
+                data = encode(text.as_py()) + end
+                for piece, at in enumerate(range(0, len(data), width)):
+                    part = data[at : at + width]
+                    rows.append((k, uid, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                    uid += 1
+            of, *made = np.array(rows, np.int64).reshape(-1, 6).T
+            yield pa.RecordBatch.from_arrays([made[0], batch["doc_id"].take(pa.array(of)), *made[1:]], PIECES)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, PIECES)
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in PIECES))
 
 
 def best_fit(items, sizes, bins: list[list[int]], capacity: int) -> list[list[int]]:
@@ -324,10 +320,10 @@ def pack_documents(
     packed = per_bin.select(
         (F.col("shard") * (1 << 24) + F.col("bin")).alias("sequence_id"), F.inline(F.arrays_zip("items", offsets.alias("offset")))
     ).filter(F.col("items").isNotNull()).select(
-        "items.doc_id", "items.piece", "items.start", "items.length", "items.ids_crc32", "sequence_id", "offset"
+        "items.doc_id", F.col("items.piece").cast("int").alias("piece"), "items.start", "items.length", "items.ids_crc32", "sequence_id", "offset"
     )
     # Full pieces: numbers beyond those of any shard.
     full = pieces.filter(F.col("length") == capacity).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("uid") + (1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", (F.col("uid") + (1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return packed.unionByName(full)
