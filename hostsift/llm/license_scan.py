@@ -5,8 +5,8 @@ and, with ``runs``, every run of consecutive lines.  A segment is normalised (lo
 space).  Dice = 2 |A and B| / (|A| + |B|) over distinct word bigrams; to reach ``least`` a
 segment must have between least / (2 - least) and (2 - least) / least times a template's
 bigrams, so segments outside every template's bounds are dropped before they are compared, and each
-template meets only segments within its own bounds.  A segment without any of a few telling
-words, one of which every match must hold, is dropped before its words are counted.
+template meets only segments within its own bounds.  A document without any of a set of telling
+words, one of which every match must hold, is dropped in one scan, and what is left is written once.
 Bigrams join the templates' bigrams by equality; the template table is fixed, so it is
 broadcast.
 
@@ -14,7 +14,8 @@ Runs are not listed one by one.  A run can match a template only in a document t
 least / (2 - least) of the template's bigrams, and the best runs start and end on lines
 that hold one.  For each such first line the distinct bigrams of all runs from it are
 running sums over their last lines, since a bigram counts where it first occurs from that
-line on.  Matching runs of one template that overlap count as one match, with the best
+line on.  A run ends where the bigrams new to the document alone exceed the template's bound, so a
+long document costs its length times a template's size.  Matching runs of one template that overlap count as one match, with the best
 Dice; its segment is the negative number of its earliest line.
 
 Nulls and odd input: a null text counts as empty and has no match; a segment of fewer
@@ -86,7 +87,7 @@ def template_bigrams(templates: list[tuple[str, str]]) -> list[tuple[int, str, i
 
 
 def telling_words(templates: list[tuple[str, str]], least: float) -> list[str]:
-    """Words of which every matching segment holds one, chosen to be few and long.
+    """Words of which every matching segment holds one, long ones first.
 
     A match shares at least least / (2 - least) of a template's bigrams, so of any set of
     bigrams larger than the rest it holds one, and with it that bigram's words.  Words are
@@ -95,47 +96,48 @@ def telling_words(templates: list[tuple[str, str]], least: float) -> list[str]:
     by_template: dict[int, list[str]] = {}
     for number, _, _, gram in template_bigrams(templates):
         by_template.setdefault(number, []).append(gram)
-    holds = lambda word, gram: any(word in part if len(word) > 3 else word == part for part in gram.split())
-    chosen: list[str] = []
+    chosen: set[str] = set()
     for grams in sorted(by_template.values(), key=len):
         wanted = len(grams) - math.ceil(len(grams) * least / (2 - least) - 1e-9) + 1
-        open_ = [g for g in grams if not any(holds(w, g) for w in chosen)]
+        open_ = [g for g in grams if chosen.isdisjoint(g.split())]
         while len(grams) - len(open_) < wanted:
             words = Counter(w for g in open_ for w in set(g.split()))
-            if len(grams) < 200:  # in full texts, words inside of words are not counted
-                words = {w: sum(holds(w, g) for g in open_) for w in words}
-            chosen.append(max(words, key=lambda w: (len(w) > 4, words[w] * min(len(w), 8), len(w), w)))
-            open_ = [g for g in open_ if not holds(chosen[-1], g)]
-    return sorted(w for w in chosen if not any(v != w and len(v) > 3 and v in w for v in chosen))
-
-
-def telling_pattern(templates: list[tuple[str, str]], least: float) -> str:
-    """Finds a telling word in lower case; words of three letters and fewer only where they stand alone."""
-    alone = lambda w: rf"(?<![\p{{L}}\p{{N}}]){w}(?![\p{{L}}\p{{N}}])"
-    return "|".join(w if len(w) > 3 else alone(w) for w in telling_words(templates, least))
+            best = max(words, key=lambda w: (len(w) > 4, words[w] * min(len(w), 8), len(w), w))
+            chosen.add(best)
+            open_ = [g for g in open_ if best not in g.split()]
+    return sorted(chosen)
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(template_bigrams(templates), "template int, license string, template_size int, gram string")
 
 
+def suspects(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]], least: float) -> DataFrame:
+    """doc_id, text_key and text in lower case of the documents that hold a telling word; one scan."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    telling = F.array(*[F.lit(w) for w in telling_words(templates, least)])
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.lower(text).alias("low"))
+    return base.filter(F.arrays_overlap(F.split("low", NOT_WORD), telling))
+
+
 def license_matches(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST,
+    few: DataFrame | None = None,
 ) -> DataFrame:
-    """All matches: doc_id, text_key, segment (0: whole text, else line number), license, template, dice."""
+    """All matches: doc_id, text_key, segment (0: whole text, else line number), license, template, dice.
+
+    ``few`` is the table that ``suspects`` gives, where it is written already.
+    """
     spark = docs.sparkSession
     sizes = [r[2] for r in template_bigrams(templates)]
     fewest, most = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    telling = telling_pattern(templates, least)
+    telling = F.array(*[F.lit(w) for w in telling_words(templates, least)])
+    few = suspects(docs, id_col, text_col, templates, least) if few is None else few
     # A segment of b distinct bigrams has more than b words; repeats can only add words, so only the
     # lower bound can be told from the count of words.  The upper bound is told from the bigrams.
-    segments = docs.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"),
-        F.lower(text).alias("low"),
-    ).filter(F.col("low").rlike(telling)).select(
+    segments = few.select(
         "doc_id", "text_key", F.posexplode(F.concat(F.array("low"), F.split("low", "\n"))).alias("segment", "line")
-    ).filter((F.length("line") > 2 * fewest) & F.col("line").rlike(telling))
+    ).filter((F.length("line") > 2 * fewest) & F.arrays_overlap(F.split("line", NOT_WORD), telling))
     words = F.filter(F.split("line", NOT_WORD), lambda w: w != "")
     last = F.greatest(F.size("words") - 1, F.lit(0))  # Spark may test the bigrams before the word count
     grams = F.array_distinct(
@@ -170,17 +172,17 @@ def _words(text: Column | str) -> Column:
 
 
 def run_matches(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST,
+    few: DataFrame | None = None,
 ) -> DataFrame:
     """Matches of runs of two lines and more, in the columns of ``license_matches``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "license")
     share = least / (2 - least)
-    text = F.coalesce(F.col(text_col), F.lit(""))
     fewest = min(r[2] for r in template_bigrams(templates)) * share
     table = F.broadcast(template_table(spark, templates))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.lower(text).alias("low"))
-    base = base.filter(F.col("low").contains("\n") & F.col("low").rlike(telling_pattern(templates, least)))
+    base = suspects(docs, id_col, text_col, templates, least) if few is None else few
+    base = base.filter(F.col("low").contains("\n"))
     own = ["doc_id", "text_key"]
     held = base.withColumn("words", _words("low")).filter(F.size("words") > fewest).select(
         *own, F.explode(F.array_distinct(_pairs("words", lambda a, b: F.concat_ws(" ", a, b)))).alias("gram")
@@ -195,17 +197,25 @@ def run_matches(
     grams = _pairs("tokens", lambda a, b: F.struct(F.concat_ws(" ", a["w"], b["w"]).alias("gram"), a["k"].alias("first"), b["k"].alias("last")))
     placed = few.withColumn("tokens", tokens).select(*own, F.posexplode(grams).alias("at", "g")).select(*own, "at", "g.*")
     placed = placed.withColumn("before", F.coalesce(F.lag("first").over(Window.partitionBy(*own, "gram").orderBy("at")), F.lit(0)))
+    # Bigrams new to the document up to this one: between two places they are distinct, so they bound a run's size from below.
+    new = (F.col("before") == 0).cast("long")
+    placed = placed.withColumn("new", F.sum(new).over(Window.partitionBy(*own).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)))
     kind = [*own, "template", "license", "template_size"]
     hit = table.select("template", "gram", F.lit(1).alias("hit"))
     marked = placed.alias("a").join(able.alias("b"), same("a", "b")).select("a.*", "b.template", "b.license", "b.template_size").join(
         hit, ["template", "gram"], "left"
     )
     marked = scratch.save(marked, "marked")
-    starts = marked.filter("hit = 1").groupBy(*own, "template").agg(F.collect_set("first").alias("starts"))
-    counted = F.filter("starts", lambda k: (k > F.col("before")) & (k <= F.col("first")))
+    starts = marked.filter("hit = 1").groupBy(*own, "template", "first").agg(F.min("new").alias("new")).groupBy(*own, "template").agg(
+        F.collect_list(F.struct("first", "new")).alias("starts")
+    )
+    room = F.col("template_size") * ((2 - least) / least) + 1
+    counted = F.filter(
+        "starts", lambda s: (s["first"] > F.col("before")) & (s["first"] <= F.col("first")) & (F.col("new") - s["new"] <= room)
+    )
     from_start = marked.alias("a").join(
         starts.alias("b"), same("a", "b") & (F.col("a.template") == F.col("b.template"))
-    ).select("a.*", F.explode(counted).alias("start"))
+    ).select("a.*", F.explode(F.transform(counted, lambda s: s["first"])).alias("start"))
     so_far = Window.partitionBy(*kind, "start").orderBy("last")
     sums = from_start.groupBy(*kind, "start", "last").agg(F.count("*").alias("size"), F.sum("hit").alias("common"))
     dice = 2.0 * F.sum("common").over(so_far) / (F.sum("size").over(so_far) + F.col("template_size"))
@@ -225,9 +235,12 @@ def license_report(docs: DataFrame, runs: bool = False, **options) -> DataFrame:
     Runs of lines are segments only with ``runs``, as the query asks for.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    matches = license_matches(docs, **options)
+    few = suspects(docs, id_col, text_col, options.get("templates", TEMPLATES), options.get("least", LEAST))
+    if runs:
+        few = Scratch(docs.sparkSession, "license-few").save(few, "few")
+    matches = license_matches(docs, few=few, **options)
     if runs:
-        matches = matches.unionByName(run_matches(docs, **options))
+        matches = matches.unionByName(run_matches(docs, few=few, **options))
     best = matches.groupBy("doc_id", "text_key").agg(
         F.max_by("license", F.struct("dice", -F.col("template"))).alias("license"),
         F.max("dice").alias("dice"),
