@@ -21,10 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is the session's ``spark.checkpoint.dir``.  Where that is unset (local
-    tests) a folder of this process is made, set and removed at exit.
+    It is the session's ``spark.checkpoint.dir``, or the folder that the application set by
+    ``setCheckpointDir``.  Where both are unset (local tests) a folder of this process is
+    made, set and removed at exit.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="hostsift-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
@@ -34,12 +35,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one run in the shared folder; they cut lineage and outlive lost executors."""
+    """Tables of one run in the shared folder; they cut lineage and outlive lost executors.
+
+    An operator's result reads them, so they stay until ``close``, ``release`` or the interpreter's end.
+    """
+
+    opened: list[Scratch] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        atexit.register(self.close)
+        Scratch.opened.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -56,6 +62,8 @@ class Scratch:
             self._delete(self.path(name))
 
     def close(self) -> None:
+        if self in Scratch.opened:
+            Scratch.opened.remove(self)
         try:
             self._delete(self.base)
         except Exception:  # noqa: BLE001  the session may have ended before the interpreter
@@ -67,6 +75,15 @@ class Scratch:
         target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(but: tuple[Scratch, ...] = ()) -> None:
+    """Deletes the intermediate tables of all results made so far, but for those named; a caller's results must be written by then."""
+    for scratch in [s for s in Scratch.opened if s not in but]:
+        scratch.close()
+
+
+atexit.register(release)
+
+
 class RecentCache(dict):
     """key -> value by subclasses' ``make``, in two generations of bounded size.
 
@@ -112,3 +129,18 @@ def squeezed(text: Column) -> Column:
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for rows that training never sees: crc32 of the id as text, modulo folds, is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(True))
+
+
+def joined_by_size(rows: DataFrame, keyed: DataFrame, on: list[str], size: str, how: str = "inner", least: int = 1000, most: int = 4096) -> DataFrame:
+    """``rows`` joined with ``keyed``, which has one row a key and in ``size`` the number of rows that hold it.
+
+    Keys that hold more than ``least`` rows and more than one in ``most`` of all are fewer
+    than ``most``, so these are broadcast and their rows stay where they are; all other
+    rows are shuffled, and no task gets many of one key.  ``rows`` is read twice.
+    """
+    total = keyed.agg(F.sum(size)).first()[0] or 0
+    hot = keyed.filter(F.col(size) > max(least, total // most))
+    if hot.isEmpty():
+        return rows.join(keyed, on, how)
+    cold = keyed.filter(F.col(size) <= max(least, total // most))
+    return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, how))
