@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hostsift.llm import (
+    common,
     components,
     embedding_dedup,
     exact_dedup,
@@ -202,6 +203,29 @@ def test_repeats(spark, length):
     assert [got[k] for k in range(len(texts))] == brute_repeats(texts, length)
 
 
+def test_shared_words(spark):
+    """Every two texts that share 50 words have shared anchors; a text that shares no 25 has none."""
+    rng = random.Random(51)
+    alone = lambda n: " ".join(f"{rng.randrange(10**9):x}" for _ in range(n))
+    texts = [alone(rng.randint(1, 300)) for _ in range(20)]
+    for k in range(30):
+        passage = alone(50 + k % 3)
+        texts += [alone(rng.randint(0, 70)) + "\n" + passage + " " + alone(rng.randint(0, 70)), alone(9) + " " + passage.replace(" ", "\t ")]
+    texts += [alone(24), alone(25), "", None, alone(60), alone(30)]
+    texts += [texts[-2]]
+    got = {r["doc_id"]: r["n_shared"] for r in rows_of(suffix_dedup.remove_repeats(frame(spark, texts)))}
+    assert not any(got[k] for k in range(20)) and all(got[k] > 0 for k in range(20, 80)) and not any(got[k] for k in range(80, 84))
+    assert got[84] == got[86] > 0 and got[85] == 0
+
+
+def test_joined_by_size(spark):
+    rows = spark.createDataFrame([(k % 7 if k < 50 else 9, k) for k in range(400)], "g long, k long")
+    keyed = rows.groupBy("g").agg(F.count("*").alias("n")).filter("g != 3")
+    for how in ("inner", "left"):
+        want = sorted(map(str, rows.join(keyed, ["g"], how).collect()))
+        assert sorted(map(str, common.joined_by_size(rows, keyed, ["g"], "n", how, least=20, most=8).collect())) == want
+
+
 # --- 5
 
 
