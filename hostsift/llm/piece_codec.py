@@ -29,7 +29,7 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,7 +53,7 @@ _PLACE, _LEFT, _RIGHT = 0xD1B54A32D192ED03, 0xABC98388FB8FAC03, 0x8CB92BA72F3D8D
 
 def document_key(doc, seed: int) -> int:
     """The keyed hash of a document's id."""
-    name = "" if pd.isna(doc) else str(int(doc) if isinstance(doc, float) else doc)
+    name = "" if doc is None else str(doc)
     return int.from_bytes(hashlib.blake2b(name.encode(), key=str(seed).encode()[:64], digest_size=8).digest(), "little")
 
 
@@ -235,15 +235,15 @@ def encode_pieces(
     kept = [f for f in docs.schema.fields if f.name != ids_col]
     schema = T.StructType([*kept, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = model(path).encode
         for batch in batches:
             made = []
-            for doc, text in zip(batch[id_col], batch[text_col], strict=True):
+            for doc, text in zip(batch[id_col].to_pylist(), batch[text_col].to_pylist(), strict=True):
                 made.append(None if text is None else encode(text, rate, seed, doc).astype(np.int32))
-            yield batch.drop(columns=[ids_col], errors="ignore").assign(**{ids_col: made})
+            yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in kept), pa.array(made, pa.list_(pa.int32()))], schema.names)
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def decode_pieces(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -251,12 +251,13 @@ def decode_pieces(encoded: DataFrame, path: str, ids_col: str = "ids", text_col:
     kept = [f for f in encoded.schema.fields if f.name != text_col]
     schema = T.StructType([*kept, T.StructField(text_col, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = model(path).decode
         for batch in batches:
-            yield batch.drop(columns=[text_col], errors="ignore").assign(**{text_col: [None if i is None else decode(i) for i in batch[ids_col]]})
+            made = [None if ids is None else decode(ids) for ids in batch[ids_col].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in kept), pa.array(made, pa.string())], schema.names)
 
-    return encoded.mapInPandas(run, schema)
+    return encoded.mapInArrow(run, schema)
 
 
 def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0) -> DataFrame:
@@ -265,15 +266,16 @@ def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0) -
     Encodes and decodes in one pass, so the ids of a document are dropped once they are told.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = model(path)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                ids = codec.encode(text or "", rate, seed, doc)
-                rows.append((doc, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), codec.decode(ids) == (text or "")))
-            made = pd.DataFrame(rows, columns=["doc_id", "n_pieces", "ids_sha256", "restored"])
-            yield made.assign(doc_id=made["doc_id"].astype("Int64"))
+            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                text = text.as_py() or ""
+                ids = codec.encode(text, rate, seed, doc)
+                rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), codec.decode(ids) == text))
+            made = map(pa.array, zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *made], ["doc_id", "n_pieces", "ids_sha256", "restored"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id long, n_pieces long, ids_sha256 string, restored boolean")
+    return rows.mapInArrow(run, "doc_id long, n_pieces long, ids_sha256 string, restored boolean")
