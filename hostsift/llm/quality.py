@@ -7,8 +7,8 @@ class counts; a linear hinge-loss model is then fitted on the scaled indicators
 dual coordinate descent, and its margin is mapped to a probability on rows that the
 descent did not see.
 
-Fitting uses a bounded sample of labelled rows (``sample_rows``, the smallest hashes
-of the id among labelled rows outside the held-out fold); scoring covers every row.
+Fitting uses a bounded sample of labelled rows (``sample_rows``, see ``labelled_sample``)
+outside the held-out fold; scoring covers every row and whole text.
 
 Nulls and odd input: a null text counts as empty and gets the score of no
 indicators; rows with a null id are scored and count as held out; null labels are
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,8 @@ from pyspark.sql import types as T
 from .common import RecentCache, held_out
 
 BITS = 18
+#: Longest text that takes part in fitting; every text is scored whole.
+SAMPLE_CHARS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 
@@ -151,16 +154,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int) -> DataFrame:
-    """At most ``rows`` labelled documents outside the held-out fold: text, y.
+    """At most ``rows`` labelled documents outside the held-out fold: doc_id, text, y.
 
-    The sample is bounded, so its ids are broadcast and the texts are not shuffled.
+    They are chosen by the smallest hashes of ids among the first ``4 * rows`` labels that
+    one document bears; an id of several rows tells no text and is left out, and so are
+    texts of over ``SAMPLE_CHARS`` characters.  Both lists of ids are bounded and broadcast;
+    no text is shuffled.
     """
-    picked = (
-        labels.filter(F.col(label_col).isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.max(label_col).cast("int").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    )
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
+    first = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    marked = labels.filter(F.col(label_col).isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label_col).cast("int").alias("y"))
+    borne = docs.select("doc_id").join(F.broadcast(first(marked, 4 * rows)), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.count("*").alias("n"))
+    picked = first(borne.filter("n = 1"), rows).select("doc_id", "y")
+    texts = docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS)
+    return texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
 
 
 class QualityModel:
@@ -211,12 +217,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
 
 
 def _scored(docs: DataFrame, model, schema: T.StructType, text_col: str) -> DataFrame:
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.assign(**{schema.names[-1]: [model.value.score(t) for t in batch[text_col]]})[schema.names]
+            made = pa.array([model.value.score(t.as_py()) for t in batch[text_col]], pa.float64())
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in schema.names[:-1]), made], schema.names)
         forget_tokens()
 
-    return docs.mapInPandas(score, schema)
+    return docs.mapInArrow(score, schema)
 
 
 def classify_quality(
