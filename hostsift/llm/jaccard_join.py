@@ -34,7 +34,7 @@ from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,11 +60,11 @@ def forget_codes() -> None:
     _codes.forget()
 
 
-def portions(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, whose arrays of tokens take less memory."""
     for batch in batches:
-        for at in range(0, len(batch), rows):
-            yield batch.iloc[at : at + rows]
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -114,12 +114,15 @@ def _long(a: np.ndarray) -> np.ndarray:
 def _signatures(width: int, percent: int):
     """doc_id, n, digest, key, need and, once a task and set, the extended prefix in hash order."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["n", "digest", "key", "size", "need", "prefix"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emitted: set[bytes] = set()
         for batch in portions(batches):
             rows = []
-            for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                tokens = shingle_set(text, width)
+            for text in batch["text"]:
+                tokens = shingle_set(text.as_py(), width)
                 n = len(tokens)
                 digest = blake2b(tokens.tobytes(), digest_size=16).digest()
                 size = int(_reach(n, percent))
@@ -129,10 +132,9 @@ def _signatures(width: int, percent: int):
                         emitted.clear()
                     emitted.add(digest)
                     prefix = _long(tokens[:size])
-                rows.append((doc, n, digest.hex(), int.from_bytes(digest[:8], "little", signed=True), size, _demand(n, percent) if n else 0, prefix))
-            made = pd.DataFrame(rows, columns=["doc_id", "n", "digest", "key", "size", "need", "prefix"])
-            made["doc_id"] = made["doc_id"].astype("Int64")
-            yield made
+                rows.append((n, digest.hex(), int.from_bytes(digest[:8], "little", signed=True), size, _demand(n, percent) if n else 0, prefix))
+            made = map(pa.array, zip(*rows, strict=True), types)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *made], ["doc_id", *names])
         forget_codes()
 
     return run, "doc_id long, n long, digest string, key long, size long, need long, prefix array<long>"
@@ -141,11 +143,14 @@ def _signatures(width: int, percent: int):
 def _arrays(width: int, percent: int):
     """node, n, tokens, the prefix in the second hash order and 128 parities, for rows whose set is still the expected one."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    longs = pa.list_(pa.int64())
+    types = [pa.int64(), pa.int64(), longs, longs, pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             rows = []
-            for node, text, digest in zip(batch["node"], batch["text"], batch["digest"], strict=True):
-                tokens = shingle_set(text, width)
+            for node, text, digest in zip(batch["node"].to_pylist(), batch["text"], batch["digest"].to_pylist(), strict=True):
+                tokens = shingle_set(text.as_py(), width)
                 if blake2b(tokens.tobytes(), digest_size=16).hexdigest() != digest:
                     continue
                 n = len(tokens)
@@ -156,7 +161,8 @@ def _arrays(width: int, percent: int):
                 odd = np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=128) & 1
                 b0, b1 = np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
                 rows.append((node, n, _long(tokens), _long(second), b0, b1))
-            yield pd.DataFrame(rows, columns=["node", "n", "tokens", "second", "b0", "b1"])
+            made = map(pa.array, zip(*rows, strict=True) if rows else [[]] * 6, types)
+            yield pa.RecordBatch.from_arrays(list(made), ["node", "n", "tokens", "second", "b0", "b1"])
         forget_codes()
 
     return run, "node long, n long, tokens array<long>, second array<long>, b0 long, b1 long"
@@ -196,7 +202,7 @@ def jaccard_components(
     scratch = Scratch(spark, "jaccard")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     run, schema = _signatures(width, percent)
-    signed = scratch.save(base.mapInPandas(run, schema), "signed")
+    signed = scratch.save(base.mapInArrow(run, schema), "signed")
 
     # Equal sets are one node, named by its smallest id.
     sets = signed.filter("n > 0").groupBy("digest").agg(
@@ -214,7 +220,7 @@ def jaccard_components(
     scratch.drop("signed")
     run, schema = _arrays(width, percent)
     texts = base.join(left, base["doc_id"] == left["node"]).select("node", "text", "digest")
-    arrays = scratch.save(texts.mapInPandas(run, schema).dropDuplicates(["node"]), "arrays")
+    arrays = scratch.save(texts.mapInArrow(run, schema).dropDuplicates(["node"]), "arrays")
 
     # Order 2: rarest first.  Tokens of one set only take the first places and need no row.
     rows = arrays.select("node", "n", F.explode("tokens").alias("token"))
