@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -272,16 +273,14 @@ def classify_toxicity(
     """One row a document: doc_id, held_out, score, predicted, n_hits."""
     learned, stems, coef = fit_toxicity(docs, labels, label_col, sample_rows)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [finder(learned, stems).features(t) for t in batch["text"]]
+            made = [finder(learned, stems).features(t.as_py()) for t in batch["text"]]
             x = np.stack(made) if made else np.zeros((0, COLUMNS))
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "score": sigmoid(x @ coef[:-1] + coef[-1]),
-                "n_hits": np.rint(np.expm1(x[:, :10]).sum(1)).astype(np.int64),
-            })
+            hits = np.rint(np.expm1(x[:, :10]).sum(1)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sigmoid(x @ coef[:-1] + coef[-1])), pa.array(hits)], ["doc_id", "score", "n_hits"])
 
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(score, "doc_id long, score double, n_hits long")
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double, n_hits long")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"), "n_hits",
