@@ -11,7 +11,8 @@ repository and ``source`` as the owner.
 
 Nulls and odd input: a null text counts as empty and has no spans; a null owner is
 one owner of its own; a repeated row gets the same spans as its twin and counts
-once in the frequencies; an empty table gives an empty result; extra columns are
+once in the frequencies; rows that share an id, or have none, count for each of their
+owners; an empty table gives an empty result; extra columns are
 ignored, whatever their names.
 """
 
@@ -71,12 +72,12 @@ def candidate_spans(docs: DataFrame) -> DataFrame:
     rows = (
         docs.filter(reduce(lambda a, b: a | b, [text.rlike(p) for _, p in KINDS]))
         .select("doc_id", "owner", "repo", "text_key", found.alias("found"))
-        .dropDuplicates(["doc_id", "text_key"])
+        .dropDuplicates(["doc_id", "text_key", "owner", "repo"])
         .select("doc_id", "owner", "repo", "text_key", F.inline("found"))
         .filter(F.col("size").isNotNull())
     )
     # One document's matches of one kind, in order: what stands before a match is all earlier gaps and matches.
-    so_far = Window.partitionBy("doc_id", "text_key", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("doc_id", "text_key", "owner", "repo", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("size")).over(so_far)
     return (
         rows.withColumn("end", end)
@@ -115,7 +116,9 @@ def scan_secrets(
         F.col(id_col if repo_col is None else repo_col).cast("string").alias("repo"),
     ).withColumn("text_key", F.xxhash64("text"))
     spans = scratch.save(candidate_spans(base), "spans")
-    joined = spans.join(ownership(spans), "hash")
+    # Rows that share id and text share their spans, whatever owners hold them.
+    one = spans.select("doc_id", "text_key", "kind", "start", "end", "hash").distinct()
+    joined = one.join(ownership(spans), "hash")
     live = F.col("owners") < shared_owners
     return joined.filter((F.col("kind") < BASE) | live).select(
         "doc_id", "text_key", "kind", "start", "end", "owners", "repositories", live.alias("live")
@@ -186,12 +189,12 @@ def redact_secrets(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFr
     plan = per_doc.select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), merged.alias("__m")
     )
-    keyed = docs.withColumn("__k", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = keyed.join(plan, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__key")), "left")
-    pieces = F.transform(
-        F.col("__m.gaps"), lambda g: F.substring(F.col(text_col), (g["a"] + 1).cast("int"), (g["b"] - g["a"]).cast("int"))
-    )
-    tail = F.substring(F.col(text_col), (F.col("__m.at") + 1).cast("int"), F.length(text_col))
-    masked = F.concat(F.array_join(pieces, mask), F.lit(mask), tail)
-    out = F.when(F.col("__id").isNull() & F.col("__m").isNull(), F.col(text_col)).otherwise(masked)
-    return joined.withColumn(text_col, out).select(*docs.columns)
+    # The row goes whole in one column, so no name of its own can clash.
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    text = F.col("row")[text_col]
+    keyed = row.select("row", F.col("row")[id_col].alias("k_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k_text"))
+    joined = keyed.join(plan, F.col("k_id").eqNullSafe(F.col("__id")) & (F.col("k_text") == F.col("__key")), "left")
+    pieces = F.transform(F.col("__m.gaps"), lambda g: F.substring(text, (g["a"] + 1).cast("int"), (g["b"] - g["a"]).cast("int")))
+    masked = F.concat(F.array_join(pieces, mask), F.lit(mask), F.substring(text, (F.col("__m.at") + 1).cast("int"), F.length(text)))
+    out = F.when(F.col("__m").isNull(), text).otherwise(masked)
+    return joined.select(*[out.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
