@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, joined_by_size
 from .components import connected_components
 
 COUNTED = 32
@@ -69,7 +69,7 @@ def _unit(rows) -> np.ndarray:
 
 
 SIGNS, SORTS, COUNTS = 11, 12, 13
-KEYED = "node long, copies long, dim int, vector array<float>, keys array<long>"
+KEYED = "node long, copies long, dim int, vector array<{}>, keys array<long>"
 
 
 def _keys(bits: int, tables: int):
@@ -177,7 +177,9 @@ def near_vectors(
     """One row a vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vectors")
-    value = F.col(vector_col).cast("array<float>")
+    # Components stay as wide as they come: doubles are compared as doubles.
+    wide = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+    value = F.col(vector_col).cast(f"array<{wide}>")
     usable = (F.size(value) > 0) & F.forall(value, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(value, lambda c: c != 0)
     # Adding 0 turns -0 into 0; a float's text is exact.
     digest = F.sha2(F.array_join(F.transform(value, lambda c: (c + F.lit(0.0)).cast("string")), ","), 256)
@@ -191,7 +193,7 @@ def near_vectors(
     )
     bits, tables, count = calibrate(nodes.count(), cosine, recall)
     keyed = scratch.save(
-        nodes.filter("node IS NOT NULL").select("node", "copies", F.size("vector").alias("dim"), "vector").mapInPandas(_keys(bits, tables), KEYED), "keyed"
+        nodes.filter("node IS NOT NULL").select("node", "copies", F.size("vector").alias("dim"), "vector").mapInPandas(_keys(bits, tables), KEYED.format(wide)), "keyed"
     )
     rows = keyed.select("node", "copies", "dim", "vector", "keys", F.posexplode("keys").alias("table", "key"))
     sizes = rows.groupBy("table", "dim", "key").agg(F.count("*").alias("held")).filter("held > 1")
@@ -212,10 +214,14 @@ def near_vectors(
     degrees = found.filter("kind = 'd'").groupBy(F.col("u").alias("node")).agg(F.sum("v").alias("degree"))
     parts_of = scratch.save(connected_components(found.filter("kind = 'l'").select("u", "v"), scratch), "parts")
     by_digest = nodes.select("digest", "node", "copies").join(degrees, "node", "left").join(parts_of, "node", "left").select(
-        "digest", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "node").alias("component")
+        "digest", "copies", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "node").alias("component")
     )
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
-    return named.select("vec_id", "digest").join(by_digest, "digest", "left").select(
+    # Vectors that link with nothing have no digest to meet by; a vector of very many copies is joined by broadcast.
+    linked = joined_by_size(named.filter("digest IS NOT NULL").select("vec_id", "digest"), by_digest, ["digest"], "copies")
+    none = F.lit(None).cast("long")
+    alone = named.filter("digest IS NULL").select("digest", "vec_id", none.alias("links"), none.alias("component"), none.alias("copies"))
+    return linked.unionByName(alone).select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
     )
