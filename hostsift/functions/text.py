@@ -67,6 +67,8 @@ def is_address(tokens: pd.Series) -> pd.Series:
     """True for IPv4 and IPv6 literals."""
 
     def one(token):
+        if token is None:
+            return None
         try:
             ipaddress.ip_address(token)
         except ValueError:

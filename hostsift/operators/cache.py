@@ -53,7 +53,7 @@ def misses(looked_up: DataFrame) -> DataFrame:
 def needs_refresh(looked_up: DataFrame) -> Column:
     """A miss, or a registered row whose statuses are not complete (counted as a hit, looked up all the same)."""
     hit = F.col("hit")
-    return F.col("hit_source").isNull() | ((hit["classification"] == V.REGISTERED) & (hit["statuses_complete"] == 0))
+    return F.col("hit_source").isNull() | ((hit["classification"] == V.REGISTERED) & ~F.coalesce(hit["statuses_complete"].cast("boolean"), F.lit(False)))
 
 
 def stamped(rows: DataFrame, now: Column, ttl_days: Column) -> DataFrame:

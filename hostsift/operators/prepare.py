@@ -17,10 +17,10 @@ class PreparationError(ValueError):
 
 
 def _normalised(rows: DataFrame, name: str, out: str) -> DataFrame:
-    """ASCII names by built-in functions; the others, and only they, by the IDNA codec."""
+    """ASCII names by built-in functions; of the others alone the IDNA codec gets a value, so one scan serves both."""
     column = F.col(name)
-    ascii_rows = rows.filter(column.isNull() | X.is_ascii(column)).withColumn(out, X.ascii_host(column))
-    return ascii_rows.unionByName(rows.filter(~X.is_ascii(column)).withColumn(out, X.idna_host(column)))
+    other = X.idna_host(F.when(~X.is_ascii(column), column))
+    return rows.withColumn("__idna", other).withColumn(out, F.coalesce("__idna", X.ascii_host(column))).drop("__idna")
 
 
 def with_line_format(lines: DataFrame) -> DataFrame:
@@ -29,8 +29,7 @@ def with_line_format(lines: DataFrame) -> DataFrame:
     first = F.split("content", rf"{X.BLANK}+")[0]
     # Only tokens that could be an address go to Python.
     address_like = first.rlike(r"^[0-9A-Fa-f:.]+(%.*)?\z") & (F.size(F.split("content", rf"{X.BLANK}+")) >= 2)
-    maybe = content.filter(address_like).withColumn("__address", X.is_address(first))
-    named = maybe.unionByName(content.filter(~address_like).withColumn("__address", F.lit(False)))
+    named = content.withColumn("__address", F.coalesce(X.is_address(F.when(address_like, first)), F.lit(False)))
     named = _normalised(named, "content", "__plain")
     return named.withColumn("line_format", X.line_format(F.col("content"), F.col("__address"), F.col("__plain"))).drop("__address", "__plain")
 

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import zipfile
-
-import pyspark
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +9,16 @@ RULES_SCHEMA = "suffix string, kind string"
 
 
 def public_suffix_rules(spark: SparkSession, lines: list[str] | None = None) -> DataFrame:
-    """suffix, kind (exact, wildcard, exception); by default the public list that Spark's HTTP client carries."""
+    """suffix, kind (exact, wildcard, exception); by default the public list that Spark's HTTP client carries on its class path."""
     if lines is None:
-        jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-        jar = next(f for f in sorted(os.listdir(jars)) if f.startswith("httpclient-"))
-        with zipfile.ZipFile(os.path.join(jars, jar)) as z:
-            lines = z.read("mozilla/public-suffix-list.txt").decode("utf-8").splitlines()
+        jvm = spark.sparkContext._jvm
+        stream = jvm.java.lang.Thread.currentThread().getContextClassLoader().getResourceAsStream("mozilla/public-suffix-list.txt")
+        if stream is None:
+            raise FileNotFoundError("no public suffix list on the class path; pass its lines")
+        try:
+            lines = bytes(stream.readAllBytes()).decode("utf-8").splitlines()
+        finally:
+            stream.close()
     rules = set()
     for line in lines:
         rule = line.split()[0] if line.split() else ""
