@@ -22,6 +22,27 @@ def resolved_ips(dns: Column) -> Column:
     return F.concat(dns["ipv4_addresses"], dns["ipv6_addresses"])
 
 
+def record_outcome(kind: str, outcome: Column, values: Column) -> Column:
+    """One record type's struct for ``combined_answer``.
+
+    ``outcome`` is answer, no_answer, nxdomain, exhausted (retries used up), timeout or
+    anything else for a failure; ``values`` are the answer's texts, null where there is no
+    record set.  Texts that are no address are passed over in A and AAAA answers; of a
+    CNAME answer the first target is the alias.
+    """
+    none, address = F.array().cast("array<string>"), r"^(\d{1,3}(\.\d{1,3}){3}|[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*)$"
+    answered, alias = outcome == "answer", kind == "CNAME"
+    found = F.when(answered & F.lit(not alias), F.filter(F.coalesce(values, none), lambda v: v.rlike(address))).otherwise(none)
+    exists = (answered & values.isNotNull()) if alias else F.size(found) > 0
+    late = (outcome == "timeout") | ((outcome == "exhausted") & F.lit(not alias))
+    known = outcome.isin("answer", "no_answer", "nxdomain")
+    return F.struct(
+        exists.alias("exists"), ((outcome == "no_answer") | (answered & values.isNull())).alias("nodata"), (outcome == "nxdomain").alias("nxdomain"),
+        late.alias("timeout"), (~late & ~known).alias("servfail"),
+        F.when(answered & F.lit(alias), F.get(values, F.lit(0))).alias("cname"), found.alias("addresses"),
+    )
+
+
 def combined_answer(a: Column, aaaa: Column, cname: Column) -> Column:
     """One DNS result of the three record types.
 

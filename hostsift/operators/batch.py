@@ -44,9 +44,12 @@ def spread_assignment(groups: DataFrame, workers: int, server: str = "server", r
     """The same aim without a driver loop, for root tables of any size: largest first in a snake over the workers of each server."""
     n = F.row_number().over(Window.partitionBy(server).orderBy(F.desc(size), root)) - 1
     turn, place = F.floor(n / workers), n % workers
-    start = F.pmod(F.xxhash64(server), F.lit(workers))
-    worker = F.pmod(F.when(turn % 2 == 0, place).otherwise(workers - 1 - place) + start, F.lit(workers))
-    return groups.withColumn("worker", F.format_string("worker-%02d", (worker + 1).cast("int")))
+    # Servers begin at different workers; they are few, so their names are numbered in one task.
+    begins = groups.select(server).distinct().withColumn("__start", F.row_number().over(Window.orderBy(F.col(server).asc_nulls_last())) - 1)
+    rows = groups.withColumn("__k", F.when(turn % 2 == 0, place).otherwise(workers - 1 - place)).alias("g")
+    rows = rows.join(begins.alias("b"), F.col(f"g.{server}").eqNullSafe(F.col(f"b.{server}")))
+    worker = F.pmod(F.col("__k") + F.col("__start"), F.lit(workers))
+    return rows.select(*[f"g.{c}" for c in groups.columns], F.format_string("worker-%02d", (worker + 1).cast("int")).alias("worker"))
 
 
 def greedy_loads(sizes: list[int], workers: int) -> list[int]:

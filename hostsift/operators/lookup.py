@@ -8,6 +8,7 @@ answers are written before they are used again, so a retry does not ask twice.
 
 from __future__ import annotations
 
+import email.utils
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -63,6 +64,21 @@ def with_retries(
     return status, body
 
 
+def bootstrap_expiry(headers: dict[str, str], now: float) -> float | None:
+    """When a fetched bootstrap document must be fetched again: now plus max-age, else the Expires date, else unknown."""
+    named = {k.lower(): v for k, v in headers.items()}
+    for part in named.get("cache-control", "").split(","):
+        name, _, value = part.strip().lower().partition("=")
+        if name == "max-age":
+            if not value.lstrip("-").isdigit():
+                break
+            return now + max(0, int(value))
+    try:
+        return email.utils.parsedate_to_datetime(named["expires"]).timestamp()
+    except (KeyError, TypeError, ValueError, IndexError):
+        return None
+
+
 def looked_up(
     keys: DataFrame, on: list[str], now: Column, provider: Provider, overlay: DataFrame | None = None, baseline: DataFrame | None = None,
     keep: Callable[[DataFrame], DataFrame] = lambda df: df,

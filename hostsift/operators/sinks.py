@@ -1,28 +1,33 @@
 """Outputs: host lists, audit JSON lines, review CSV, cache tables; published whole or kept aside.
 
-Each output is written by Spark in sorted, range-partitioned files under one folder
-name.  A run is written to a staging folder first and moved into place when complete.
+Each output is written by Spark in sorted, range-partitioned files under a folder of its
+version.  Readers follow a small pointer file, which one atomic rename switches when all
+of a version is there, so a driver that dies leaves the version before in place.
 """
 
 from __future__ import annotations
 
 import json
 import time
+import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import verdicts as D
 from .batch import ensure_unique
+from .cache import upsert
 
 
 def host_list(rows: DataFrame, route: str) -> DataFrame:
     return ensure_unique(rows.filter(F.col("route") == route).select("host"), ["host"], f"{route} host").orderBy("host")
 
 
-def audit_lines(rows: DataFrame) -> DataFrame:
-    """JSON of every terminal row, by host and then row text; equal rows are an error."""
-    lines = rows.select("host", F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+def audit_lines(rows: DataFrame, sort_keys: bool = False) -> DataFrame:
+    """JSON of every terminal row, by host and then row text; equal rows are an error.  Merged audits have their keys in name order."""
+    columns = sorted(rows.columns) if sort_keys else rows.columns
+    lines = rows.select("host", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
     return ensure_unique(lines, ["value"], "audit row").orderBy("host", "value").select("value")
 
 
@@ -47,46 +52,125 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def switch_pointer(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file by one rename; readers see the old text or the new one."""
+    fs, target = _fs(spark, path)
+    made = f"{path}.{uuid.uuid4().hex}"
+    write_text(spark, made, text)
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    source, target = fs.makeQualified(hadoop.Path(made)), fs.makeQualified(target)
+    how = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), sc._jsc.hadoopConfiguration()).rename(source, target, how)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def publish(rows: DataFrame, folder: str, config: str, complete: bool = True, snapshot_root: str | None = None) -> dict:
     """Writes all outputs of a run and returns its manifest.
 
-    A complete run replaces what was published; an incomplete one goes to a snapshot
-    folder with a manifest and leaves the published outputs alone.  The filtered list is
-    always there; the others only if they have rows.
+    A complete run becomes what is published, and the version before the last is deleted;
+    an incomplete one goes to a snapshot folder with a manifest and leaves the published
+    outputs alone.  The filtered list is always there; the others only if they have rows.
     """
     spark = rows.sparkSession
     root = folder if complete else f"{snapshot_root or folder + '-incomplete'}/{int(time.time())}"
-    staging = f"{root}/.staging-{config}"
-    counts = {r["route"]: r["n"] for r in rows.groupBy("route").agg(F.count("*").alias("n")).collect()}
-    host_list(rows, "filtered").write.mode("overwrite").text(f"{staging}/filtered")
-    if counts.get("dead"):
-        host_list(rows, "dead").write.mode("overwrite").text(f"{staging}/dead")
-    if counts.get("review"):
-        review_table(rows).write.mode("overwrite").csv(f"{staging}/review", header=True, quote='"', escape='"', lineSep="\n")
-    audit_lines(rows).write.mode("overwrite").text(f"{staging}/audit")
-    for name in ("filtered", "dead", "review", "audit"):
-        fs, target = _fs(spark, f"{root}/{name}/{config}")
-        fs.delete(target, True)
-        _, made = _fs(spark, f"{staging}/{name}")
-        if fs.exists(made):
-            fs.mkdirs(target.getParent())
-            fs.rename(made, target)
-    fs, p = _fs(spark, staging)
-    fs.delete(p, True)
-    manifest = {"config": config, "complete": complete, "counts": counts, "folder": root}
+    version = f"{root}/versions/{config}/{uuid.uuid4().hex}"
+    rows = rows.persist(StorageLevel.DISK_ONLY)
+    try:
+        counts = {r["route"]: r["n"] for r in rows.groupBy("route").agg(F.count("*").alias("n")).collect()}
+        host_list(rows, "filtered").write.text(f"{version}/filtered")
+        if counts.get("dead"):
+            host_list(rows, "dead").write.text(f"{version}/dead")
+        if counts.get("review"):
+            review_table(rows).write.csv(f"{version}/review", header=True, quote='"', escape='"', lineSep="\n")
+        audit_lines(rows).write.text(f"{version}/audit")
+    finally:
+        rows.unpersist()
+    names = ["filtered", "audit", *(n for n in ("dead", "review") if counts.get(n))]
+    manifest = {"config": config, "complete": complete, "counts": counts, "folder": root, "outputs": {n: f"{version}/{n}" for n in sorted(names)}}
     if not complete:
         write_text(spark, f"{root}/manifest.json", json.dumps(manifest, sort_keys=True))
+        return manifest
+    before = read_text(spark, _pointer(folder, config))
+    last = json.loads(before) if before else {}
+    switch_pointer(spark, _pointer(folder, config), json.dumps(manifest | {"version": version, "before": last.get("version")}, sort_keys=True))
+    if last.get("before"):
+        _delete(spark, last["before"])
     return manifest
 
 
+def _pointer(folder: str, config: str) -> str:
+    return f"{folder}/current/{config}.json"
+
+
+def published(spark: SparkSession, folder: str, config: str) -> dict[str, str]:
+    """Folders of the published outputs by name; empty where nothing is published."""
+    text = read_text(spark, _pointer(folder, config))
+    return json.loads(text)["outputs"] if text else {}
+
+
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Writes a cache table that may be computed from its own old files: aside first, then into its place."""
+    """Makes ``rows`` the table at ``path``; they may be computed from its own old files, which stay for one version more."""
     spark = rows.sparkSession
-    rows.write.mode("overwrite").parquet(f"{path}.new")
-    fs, old = _fs(spark, path)
-    _, new = _fs(spark, f"{path}.new")
-    fs.delete(old, True)
-    fs.rename(new, old)
+    version = f"{path}/v-{uuid.uuid4().hex}"
+    rows.write.parquet(version)
+    last = json.loads(read_text(spark, f"{path}/_current.json") or "{}")
+    switch_pointer(spark, f"{path}/_current.json", json.dumps({"version": version, "before": last.get("version")}))
+    if last.get("before"):
+        _delete(spark, last["before"])
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that ``replace_table`` wrote last, or None."""
+    text = read_text(spark, f"{path}/_current.json")
+    return spark.read.parquet(json.loads(text)["version"]) if text else None
+
+
+def write_caches(spark: SparkSession, paths: dict[str, str], new: dict[str, DataFrame]) -> None:
+    """New rows of each cache in place of the old ones of their key."""
+    keys = {"root": ["domain"], "dns": ["host", "resolver_key"], "geo": ["provider", "ip"]}
+    for name, rows in new.items():
+        old = read_table(spark, paths[name])
+        replace_table(rows if old is None else upsert(old, rows, keys[name]), paths[name])
+
+
+def merged_review(parts: list[DataFrame]) -> DataFrame | None:
+    """Review rows of all workers, values as they stand; None where there are none, for the caller to delete the target."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    if rows.isEmpty():
+        return None
+    name = F.when(F.col("input_name") != "", F.col("input_name")).otherwise(F.col("host"))
+    return ensure_unique(rows, rows.columns, "review row").orderBy(name, "host")
+
+
+def merged_log(texts: list[str]) -> str:
+    """Workers' logs one after another, an empty line between them."""
+    held = [t.strip() for t in texts if t.strip()]
+    return "\n\n".join(held) + "\n" if held else ""
+
+
+def write_partials(review: DataFrame, terminal: DataFrame, folder: str) -> None:
+    """What preparation leaves for the merge; both files are there even without rows."""
+    review.select(*D.review_columns(review.columns)).coalesce(1).write.mode("overwrite").csv(f"{folder}/review", header=True, quote='"', escape='"')
+    audit_lines(terminal).write.mode("overwrite").text(f"{folder}/terminal")
 
 
 def output_paths(root: str, config: str) -> dict[str, str]:

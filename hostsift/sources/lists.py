@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import Source
@@ -26,19 +27,32 @@ def text_lines(spark: SparkSession, paths: list[str], source_id: str, index: int
     # A text that ends with a break has no line behind it.
     lines = lines.filter(~((F.col("at") == F.col("n") - 1) & (F.col("raw_line") == "")))
     counts = lines.groupBy("path").agg((F.max("at") + 1).alias("n"))
-    before = counts.alias("a").join(counts.alias("b"), F.col("b.path") < F.col("a.path"), "left").groupBy("a.path").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    return lines.drop("n").join(F.broadcast(before), "path").select(
+    so_far = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("path", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("before"))
+    return lines.drop("n").join(before, "path").select(
         F.lit(source_id).alias("source_id"), F.lit(index).alias("source_index"), F.lit(label or source_id).alias("source_input_label"),
         (F.col("before") + F.col("at")).cast("int").alias("line_index"), "raw_line",
     )
 
 
 def matching_paths(spark: SparkSession, location: str) -> list[str]:
-    """Paths of a location; patterns are expanded by Spark's file system, in order.  No match gives none."""
+    """Paths of a location, in order; ``**`` stands for folders of any depth.  No match gives none."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(location)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(s.getPath().toString() for s in found or [])
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if "**" not in location:
+        return sorted(s.getPath().toString() for s in fs.globStatus(path) or [])
+    base = jvm.org.apache.hadoop.fs.Path(re.split(r"/[^/]*[*?\[]", location, maxsplit=1)[0] or "/")
+    if not fs.exists(base):
+        return []
+    marks = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}
+    wanted = "".join(marks.get(part, re.escape(part)) for part in re.split(r"(\*\*/|\*\*|\*|\?)", fs.makeQualified(path).toUri().getPath()))
+    out, files = [], fs.listFiles(base, True)
+    while files.hasNext():
+        found = files.next().getPath()
+        if re.fullmatch(wanted, found.toUri().getPath()):
+            out.append(found.toString())
+    return sorted(out)
 
 
 def fetched_lines(spark: SparkSession, sources: list[Source], fetch: Callable[[str, float], str] | None = None) -> DataFrame:

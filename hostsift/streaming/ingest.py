@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.prepare import parse_lines
-from ..operators.sinks import replace_table
+from ..operators.sinks import read_table, replace_table
 from ..sources.lists import BREAKS
 
 
@@ -19,16 +19,13 @@ def line_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, folder: str, table: str, state: str, rules: DataFrame) -> StreamingQuery:
-    """Runs until all files there are taken in; ``table`` keeps the first entry of each host."""
+    """Runs until all files there are taken in; ``table`` keeps the first entry of each host (see ``sinks.read_table``)."""
 
     def upsert(batch: DataFrame, number: int) -> None:
         new = parse_lines(batch, rules).withColumn("batch", F.lit(number))
-        try:
-            # Rows of this batch from an earlier attempt are made again.
-            new = spark.read.parquet(table).filter(F.col("batch") != number).unionByName(new)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        held = read_table(spark, table)
+        if held is not None:  # rows of this batch from an earlier attempt are made again
+            new = held.filter(F.col("batch") != number).unionByName(new)
         order = F.struct("batch", "source_id", "line_index")
         kept = new.groupBy("host").agg(F.min_by(F.struct(*[c for c in new.columns if c != "host"]), order).alias("e")).select("host", "e.*")
         replace_table(kept, table)

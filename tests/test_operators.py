@@ -1,5 +1,6 @@
 """Operators on small relations."""
 
+import os
 import sqlite3
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from hostsift.functions import geo as G
 from hostsift.operators import batch as B
 from hostsift.operators import cache as C
+from hostsift.operators import lifecycle as Y
 from hostsift.operators import lookup as L
 from hostsift.operators import prepare as P
 from hostsift.operators import screening as R
@@ -159,13 +161,19 @@ def test_decision_chain(spark, tmp_path):
     assert got == {f"h{k}.com": c[6:] for k, c in enumerate(CASES)}
     manifest = K.publish(out, f"{tmp_path}/out", "direct")
     assert manifest["counts"] == {"filtered": 4, "dead": 1, "review": 5}
-    hosts = [r[0] for r in spark.read.text(f"{tmp_path}/out/filtered/direct").collect()]
+    out_of = lambda: K.published(spark, f"{tmp_path}/out", "direct")
+    hosts = [r[0] for r in spark.read.text(out_of()["filtered"]).collect()]
     assert hosts == sorted(hosts) and len(hosts) == 4
-    review = tables.review_csv(spark, f"{tmp_path}/out/review/direct")
+    review = tables.review_csv(spark, out_of()["review"])
     assert review.count() == 5 and review.filter("classification_reason like 'geo policy rejected%'").count() == 1
-    assert spark.read.text(f"{tmp_path}/out/audit/direct").count() == len(CASES)
+    assert spark.read.text(out_of()["audit"]).count() == len(CASES)
     part = K.publish(out, f"{tmp_path}/out", "direct", complete=False, snapshot_root=f"{tmp_path}/snap")
-    assert not part["complete"] and spark.read.text(f"{tmp_path}/out/filtered/direct").count() == 4
+    assert not part["complete"] and spark.read.text(out_of()["filtered"]).count() == 4 and spark.read.text(part["outputs"]["filtered"]).count() == 4
+    first = out_of()["filtered"]
+    K.publish(out.filter("route = 'dead'"), f"{tmp_path}/out", "direct")
+    assert spark.read.text(out_of()["filtered"]).count() == 0 and set(out_of()) == {"filtered", "dead", "audit"} and spark.read.text(first).count() == 4
+    K.publish(out, f"{tmp_path}/out", "direct")
+    assert spark.read.text(out_of()["filtered"]).count() == 4 and not os.path.exists(first.removeprefix("file:"))
     with pytest.raises(B.DuplicateRows):
         K.host_list(out.unionByName(out), "dead")
 
@@ -218,6 +226,10 @@ def test_sources(spark, tmp_path, rules):
     rows = lists.text_lines(spark, paths, "s").orderBy("line_index").collect()
     assert [(r["line_index"], r["raw_line"]) for r in rows] == list(enumerate(["one.com", "two.com", "three.com", "four.com", "five.com"]))
     assert lists.matching_paths(spark, f"{tmp_path}/none*") == []
+    (tmp_path / "sub" / "deep").mkdir(parents=True)
+    (tmp_path / "sub" / "deep" / "c.txt").write_text("six.com")
+    assert [os.path.basename(p) for p in lists.matching_paths(spark, f"{tmp_path}/**/*.txt")] == ["a.txt", "b.txt", "c.txt"]
+    assert lists.matching_paths(spark, f"{tmp_path}/nowhere/**/*.txt") == []
     (source,), _ = N.parse_config({"version": 2, "sources": [{"id": "u", "input": {"type": "url", "location": "mem:"}}]})
     assert [r["raw_line"] for r in lists.source_lines(spark, [source], lambda url, timeout: "x.com\ny.com").collect()] == ["x.com", "y.com"]
 
@@ -242,5 +254,74 @@ def test_stream(spark, tmp_path, rules):
     for k, text in enumerate(["a.com\nb.com\n", "b.com\nc.com\n"]):
         (tmp_path / "in" / f"{k}.txt").write_text(text)
         ingest.ingest(spark, f"{tmp_path}/in", f"{tmp_path}/table", f"{tmp_path}/state", rules).awaitTermination(120)
-    got = {r["host"]: r["batch"] for r in spark.read.parquet(f"{tmp_path}/table").collect()}
+    got = {r["host"]: r["batch"] for r in K.read_table(spark, f"{tmp_path}/table").collect()}
     assert set(got) == {"a.com", "b.com", "c.com"} and got["b.com"] < got["c.com"]
+
+
+def test_run_from_files_to_caches(spark, tmp_path):
+    """A configuration from its sources to published lists; the second run asks no provider."""
+    pytest.importorskip("yaml")
+    from hostsift import cli
+    from hostsift.operators import run
+
+    (tmp_path / "a.txt").write_text("a.com\nwww.b.com\ndead.com\ngone.com\n")
+    (tmp_path / "b.txt").write_text("||a.com^\n||c.org^\n")
+    for kind, text in (("manual_filter_out", "gone.com\nabsent.com"), ("manual_add", "mine.com")):
+        (tmp_path / "over" / kind).mkdir(parents=True)
+        (tmp_path / "over" / kind / "direct.txt").write_text(text)
+    (tmp_path / "direct.yaml").write_text(f"""
+version: 2
+sources:
+  - {{id: one, input: {{type: file, location: {tmp_path}/a.txt}}, geo: {{enabled: true, policy: {{enabled: true, include: {{countries: [CN]}}}}}}}}
+  - {{id: two, input: {{type: file, location: {tmp_path}/b.txt, format: adblock}}, geo: {{enabled: true, policy: {{enabled: true, include: {{countries: [CN]}}}}}}}}
+""")
+    asked = {"rdap": 0, "dns": 0, "geo": 0}
+
+    def counted(name, provider):
+        def ask(keys):
+            asked[name] += keys.count()
+            return provider(keys)
+        return ask
+
+    none = F.array().cast("array<string>")
+    host = F.col("host")
+    dns = lambda keys: keys.select(
+        "host", "resolver_key", F.lit(True).alias("a_exists"), *[F.lit(False).alias(c) for c in ("a_nodata", "a_nxdomain", "a_timeout", "a_servfail")],
+        F.lit(None).cast("string").alias("canonical_name"), F.array(F.when(host == "c.org", "9").otherwise("1")).alias("ipv4_addresses"), none.alias("ipv6_addresses"),
+    )
+    providers = {
+        "rdap": counted("rdap", lambda keys: keys.select("registrable_domain", (F.col("registrable_domain") != "dead.com").alias("exists"), none.alias("statuses"), F.lit(True).alias("cacheable"))),
+        "dns": counted("dns", dns),
+        "geo": counted("geo", lambda keys: keys.select("provider", "ip", F.when(F.col("ip") == "9", "US").otherwise("CN").alias("country_code"), F.lit("").alias("region_code"), F.lit("").alias("region_name"), F.lit("ok").alias("status"))),
+    }
+    for again in range(2):
+        manifest = cli.run_config(spark, f"{tmp_path}/direct.yaml", f"{tmp_path}/root", providers, f"{tmp_path}/over", f"2024-01-0{again + 1} 00:00:00")
+        assert manifest["counts"] == {"filtered": 3, "dead": 1, "review": 3}
+        files = K.published(spark, f"{tmp_path}/root/output", "direct")
+        assert [r[0] for r in spark.read.text(files["filtered"]).collect()] == ["a.com", "mine.com", "www.b.com"]
+        classes = {r["host"]: r["classification_reason"] for r in tables.review_csv(spark, files["review"]).collect()}
+        assert set(classes) == {"absent.com", "gone.com", "c.org"} and classes["gone.com"] == "manual filter-out host was explicitly rejected"
+        assert asked == ({"rdap": 5, "dns": 3, "geo": 2} if not again else {"rdap": 5, "dns": 6, "geo": 2})  # DNS rows live one day
+    done = []
+    entries = spark.createDataFrame([(f"r{k}.com",) for k in range(20)], "registrable_domain string")
+    clock = iter([0, 1, 2, 9]).__next__
+    assert not run.screened_within(entries, 5, 4, lambda df, k: done.append((k, df.count())), clock) and [k for k, _ in done] == [0, 1]
+    done.clear()
+    assert run.screened_within(entries, 5, 4, lambda df, k: done.append(df.count())) and sum(done) == 20
+
+
+def test_life_cycle(spark, tmp_path):
+    root, workers = f"{tmp_path}/state", ["w1", "w2"]
+    state = lambda: Y.finish(spark, root, "b1", workers, "2024-01-01T00:00:00Z")
+    Y.set_status(spark, root, "b1", "w1")
+    assert state() == "not_ready" and Y.current_batch(spark, root) is None
+    for w in workers:
+        Y.set_status(spark, root, "b1", w, "success")
+    assert state() == "ready_success" and Y.current_batch(spark, root) == "b1" and K.read_text(spark, f"{root}/done/b1.json")
+    Y.set_status(spark, root, "b1", "w2", "failure", "x")
+    assert state() == "ready_failed" and K.read_text(spark, f"{root}/failed/b1.json")
+    assert K.merged_log([" a\n", "", "b"]) == "a\n\nb\n"
+    rows = spark.createDataFrame([("h.com", "h.com", "review")], "host string, input_name string, classification string")
+    assert K.merged_review([rows, rows.limit(0)]).count() == 1 and K.merged_review([rows.limit(0)]) is None
+    assert L.bootstrap_expiry({"Cache-Control": "public, max-age=60"}, 100.0) == 160 and L.bootstrap_expiry({"expires": "Thu, 01 Jan 1970 00:01:00 GMT"}, 0) == 60
+    assert L.bootstrap_expiry({"cache-control": "max-age=x"}, 0) is None and L.bootstrap_expiry({}, 0) is None
