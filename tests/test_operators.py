@@ -271,6 +271,7 @@ def test_run_from_files_to_caches(spark, tmp_path):
         (tmp_path / "over" / kind / "direct.txt").write_text(text)
     (tmp_path / "direct.yaml").write_text(f"""
 version: 2
+defaults: {{geo: {{token: t}}}}
 sources:
   - {{id: one, input: {{type: file, location: {tmp_path}/a.txt}}, geo: {{enabled: true, policy: {{enabled: true, include: {{countries: [CN]}}}}}}}}
   - {{id: two, input: {{type: file, location: {tmp_path}/b.txt, format: adblock}}, geo: {{enabled: true, policy: {{enabled: true, include: {{countries: [CN]}}}}}}}}
