@@ -138,9 +138,9 @@ def joined_by_size(rows: DataFrame, keyed: DataFrame, on: list[str], size: str,
     than ``most``, so these are broadcast and their rows stay where they are; all other
     rows are shuffled, and no task gets many of one key.  ``rows`` is read twice.
     """
-    total = keyed.agg(F.sum(size)).first()[0] or 0
-    hot = keyed.filter(F.col(size) > max(least, total // most))
-    if hot.isEmpty():
+    total, largest = keyed.agg(F.sum(size), F.max(size)).first()
+    bar = max(least, (total or 0) // most)
+    if (largest or 0) <= bar:
         return rows.join(keyed, on, how)
-    cold = keyed.filter(F.col(size) <= max(least, total // most))
+    hot, cold = keyed.filter(F.col(size) > bar), keyed.filter(F.col(size) <= bar)
     return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, how))

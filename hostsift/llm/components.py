@@ -2,6 +2,8 @@
 
 Edges stay distributed; each step's edges are written to the shared folder, which cuts
 lineage and survives lost executors.  The driver sees a count and a checksum a step.
+A node of very many edges is one key of the join below; its rows are two numbers each, and
+adaptive skew handling splits its partition where it outgrows the session's threshold.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Equal sets are one node throughout, so copies are never expanded.  A list of set
 share a token is compared with one pivot first (its set with the rarest prefix place);
 what links with the pivot is connected, and only sets outside the pivot's component are
 compared with the rest of the list.  So every link is found or lies inside a component
-that other links already join, and the work follows the lists' lengths.
+that other links already join.  In a list of more than ``LONG`` sets these meet by the
+token and a prefix token of the second hash order together, which deals the list out.
 
 Verification counts the whole sets' common hashes; two different shingles of one pair
 meet in a 64-bit hash with a chance below 1e-9 for sets of 100,000.
@@ -39,9 +40,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RecentCache, Scratch
+from .common import RecentCache, Scratch, joined_by_size
 from .components import connected_components
 
+#: Sets in a list beyond which they meet under two orders at once.
+LONG = 256
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -185,9 +188,16 @@ def _compatible(percent: int, a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """Links u, v among candidate pairs u, v: a common prefix token in the second order, then the whole sets."""
-    side = lambda s: arrays.select(F.col("node").alias(s), F.col("tokens").alias(f"t_{s}"), F.col("second").alias(f"s_{s}"))
-    both = pairs.join(side("u"), "u").join(side("v"), "v").filter(F.arrays_overlap("s_u", "s_v"))
+    """Links u, v among written candidate pairs u, v: a common prefix token in the second order, then the whole sets.
+
+    A set of very many pairs is sent to them instead of the pairs to it; at most 64 sets are.
+    """
+    both = pairs
+    for s in ("u", "v"):
+        own = arrays.select(F.col("node").alias(s), F.col("tokens").alias(f"t_{s}"), F.col("second").alias(f"s_{s}"))
+        sizes = pairs.groupBy(s).agg(F.count("*").alias("pairs"))
+        both = joined_by_size(both, own.join(sizes, s), [s], "pairs", most=64).drop("pairs")
+    both = both.filter(F.arrays_overlap("s_u", "s_v"))
     common = F.size(F.array_intersect("t_u", "t_v"))
     return both.withColumn("c", common).filter(
         F.col("c") * 100 >= (F.size("t_u") + F.size("t_v") - F.col("c")) * percent
@@ -235,29 +245,36 @@ def jaccard_components(
     ).select(F.col("s.token").alias("token"), *own, (F.col("novel") + F.col("at")).alias("at"))
     postings = scratch.save(postings, "postings")
     pivots = postings.groupBy("token").agg(F.min(F.struct("at", *own)).alias("p"), F.count("*").alias("held")).filter("held > 1")
-    pivots = scratch.save(pivots.select("token", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("at", *own)]), "pivots")
+    pivots = scratch.save(pivots.select("token", "held", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("at", *own)]), "pivots")
     listed = postings.join(pivots, "token")
     first = (
         listed.filter((F.col("node") != F.col("p_node")) & _compatible(percent, "", "p_"))
         .select(F.greatest("node", "p_node").alias("u"), F.least("node", "p_node").alias("v")).distinct()
     )
-    links = scratch.save(_verified(first, arrays, percent), "links-1")
+    links = scratch.save(_verified(scratch.save(first, "pairs-1"), arrays, percent), "links-1")
     part = scratch.save(connected_components(links, scratch, "cc-1"), "part-1")
 
     # What its list's pivot did not connect meets the whole list, but for sets of its own component.
     named = lambda df, node, out: df.join(
         part.select(F.col("node").alias(node), F.col("component").alias("__c")), node, "left"
     ).withColumn(out, F.coalesce("__c", node)).drop("__c")
-    placed = named(named(listed.select("token", *own, "at", "p_node"), "node", "c"), "p_node", "p_c")
+    placed = named(named(listed.select("token", "held", *own, "at", "p_node"), "node", "c"), "p_node", "p_c")
     placed = scratch.save(placed, "placed")
-    loose = placed.filter("c != p_c").select("token", *[F.col(c).alias(f"a_{c}") for c in ("at", "c", *own)])
+    loose = placed.filter("c != p_c").select("token", "held", *[F.col(c).alias(f"a_{c}") for c in ("at", "c", *own)])
+    # In a long list sets meet under two orders at once: they must share a prefix token of the second hash order too.
+    long = loose.filter(F.col("held") > LONG)
+    met = loose.filter(F.col("held") <= LONG).drop("held").join(placed.drop("held"), "token")
+    if not long.isEmpty():
+        under = arrays.select("node", F.explode("second").alias("other"))
+        listed_long = placed.filter(F.col("held") > LONG).join(long.select("token").distinct(), "token", "left_semi").join(under, "node")
+        by_two = long.drop("held").join(under.withColumnRenamed("node", "a_node"), "a_node").join(listed_long.drop("held"), ["token", "other"])
+        met = met.unionByName(by_two.drop("other"))
     second = (
-        loose.join(placed, "token")
-        .filter((F.col("a_c") != F.col("c")) & (F.col("node") != F.col("p_node")) & ((F.col("c") == F.col("p_c")) | (F.col("a_node") < F.col("node"))))
+        met.filter((F.col("a_c") != F.col("c")) & (F.col("node") != F.col("p_node")) & ((F.col("c") == F.col("p_c")) | (F.col("a_node") < F.col("node"))))
         .filter(_compatible(percent, "a_", ""))
         .select(F.greatest("a_node", "node").alias("u"), F.least("a_node", "node").alias("v")).distinct()
     )
-    more = scratch.save(_verified(second, arrays, percent), "links-2")
+    more = scratch.save(_verified(scratch.save(second, "pairs-2"), arrays, percent), "links-2")
     final = scratch.save(connected_components(links.unionByName(more), scratch, "cc-2"), "final") if not more.isEmpty() else part
     by_set = sets.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     return slim.join(by_set, "digest", "left").select(
