@@ -463,6 +463,21 @@ def test_jaccard_prefixes_at_the_threshold(spark, percent):
     assert got == {k: k - k % 2 for k in range(len(texts))}
 
 
+def test_long_lists_meet_under_two_orders(spark, monkeypatch):
+    """Families around the threshold share a common passage, so lists are long and their pivots leave sets loose."""
+    monkeypatch.setattr(jaccard_join, "LONG", 3)
+    rng = random.Random(121)
+    base = prose(rng, 60).split(" ")
+    texts = []
+    for k in range(80):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        texts.append(" ".join(words) + " " + prose(random.Random(k % 9), 12))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows_of(jaccard_join.jaccard_components(frame(spark, texts), 3, 80))}
+    assert [got[k] for k in range(len(texts))] == brute_groups(texts, 3, 80)
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (102, 101), (7, 7), (None, 3)]
     got = dict(map(tuple, components.connected_components(spark.createDataFrame(chain, "u long, v long"), Scratch(spark, "cc")).collect()))
@@ -541,6 +556,8 @@ def everything(docs, labels):
         1: exact_dedup.exact_dedup(docs), 4: suffix_dedup.remove_repeats(docs), 5: quality.classify_quality(docs, labels), 7: license_scan.license_report(docs),
         8: secret_scan.secret_report(docs), 9: jaccard_join.jaccard_components(docs), 10: toxicity.classify_toxicity(docs, labels),
     }
+    vectors = docs.select(F.col("doc_id").alias("vec_id"), F.when(F.length("text") > 0, F.array(F.length("text").cast("double"), F.lit(1.0))).alias("embedding"), *docs.columns[5:])
+    out[3] = embedding_dedup.near_vectors(vectors)
     if paths := pytest.importorskip("public_tokenizers"):
         out[2] = piece_codec.piece_report(docs, paths.path("piece_bpe_32k.model"))
         out[6] = packing.pack_documents(docs, paths.path("word_bpe_49k.json"))
@@ -549,7 +566,7 @@ def everything(docs, labels):
 
 def test_odd_input(odd, labels):
     found = {k: rows_of(df) for k, df in everything(odd, labels).items()}
-    assert all(len(found[k]) == 9 for k in (1, 2, 4, 5, 7, 8, 9, 10)) and len({r["doc_id"] for r in found[6]}) == 7 + 1
+    assert all(len(found[k]) == 9 for k in (1, 2, 3, 4, 5, 7, 8, 9, 10)) and len({r["doc_id"] for r in found[6]}) == 7 + 1
     one = {r["doc_id"]: r for r in found[1]}
     assert one[1]["group_size"] == 2 and one[None]["keep_id"] == 1 and not one[None]["kept"] and one[3]["group_size"] == 3 and one[3]["keep_id"] == 2
     assert all(r["restored"] for r in found[2])
@@ -562,6 +579,45 @@ def test_empty_tables(odd, labels):
         assert df.count() == 0, k
 
 
+BIG = (1 << 53) + 1
+
+
+def test_large_ids_beside_a_null_id(spark, labels):
+    """A batch with a null id changes no id above 2^53, in any operator."""
+    rows = [(BIG, "one two three four five"), (None, "one two three four five"), (BIG + 2, "one two three four five"), (BIG + 4, "six")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 5) for i, t in rows], SCHEMA).coalesce(1)
+    ids = {BIG, None, BIG + 2, BIG + 4}
+    found = {k: rows_of(df) for k, df in everything(docs, labels).items()}
+    assert all({r["vec_id" if k == 3 else "doc_id"] for r in got} == ids for k, got in found.items())
+    one = {r["doc_id"]: r for r in found[1]}
+    assert [one[k]["keep_id"] for k in (BIG, BIG + 2, None, BIG + 4)] == [BIG, BIG, BIG, BIG + 4] and one[BIG]["kept"] and not one[BIG + 2]["kept"]
+    held = lambda k: zlib.crc32(str(k).encode()) % 5 == 0
+    assert all(r["held_out"] == (r["doc_id"] is None or held(r["doc_id"])) for k in (5, 10) for r in found[k])
+    assert {r["doc_id"]: r["component_id"] for r in found[9]} == {BIG: BIG, BIG + 2: BIG, BIG + 4: BIG + 4, None: None}
+    assert {r["doc_id"] for r in rows_of(quality.quality_filter(docs, labels, threshold=0.0))} == ids
+
+
+def test_owners_of_rows_without_an_id(spark):
+    token = "ghp_" + "Q7w6" * 9
+    docs = spark.createDataFrame([(None, token, "en", f"s{k}", 1) for k in range(5)] + [(1, "ghp_" + "A1b2" * 9, "en", "s", 1)], SCHEMA)
+    got = rows_of(secret_scan.secret_report(docs))
+    assert [r["n_live"] for r in got if r["doc_id"] is None] == [0] * 5 and [r["n_live"] for r in got if r["doc_id"] == 1] == [1]
+
+
+def test_masking_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef123456", "m", 7), (2, None, "x", 8)], "doc_id long, text string, __m string, __k long").withColumn("source", F.lit("s"))
+    got = {r["doc_id"]: r for r in rows_of(secret_scan.redact_secrets(docs))}
+    assert got[1] == {"doc_id": 1, "text": "[SECRET]", "__m": "m", "__k": 7, "source": "s"} and got[2]["__k"] == 8 and got[2]["text"] is None
+
+
+def test_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(k % 60, f"t{k}") for k in range(90)], "doc_id long, text string")
+    marks = spark.createDataFrame([(k, 1) for k in range(-200, 60)], "doc_id long, y long").withColumnRenamed("y", "quality")
+    got = rows_of(quality.labelled_sample(docs, marks, "quality", 100))
+    assert 0 < len(got) <= 30 and all(30 <= r["doc_id"] < 60 for r in got)  # ids of two rows tell no text
+    assert len(rows_of(quality.labelled_sample(docs, marks, "quality", 7))) <= 7
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(15)
     texts = corpus(rng, 60)
