@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before kept and
 returns the columns of ``documents``; the last returns the packed pieces.  ``run`` writes
 each stage's rows as Parquet in the shared folder and reads them again for the next.
+
+Nulls and odd input: a null text counts as empty (its shape is scored, it is a copy of an
+empty one, holds no secret and packs as its end mark); null and repeated ids are told at
+each stage; ties take the smallest id; an empty table passes empty; extra columns are
+carried to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostsift.llm.common import Scratch, table
+from hostsift.llm.common import Scratch, release, squeezed, table
 from hostsift.llm.exact_dedup import exact_dedup
 from hostsift.llm.jaccard_join import jaccard_components
 from hostsift.llm.packing import pack_documents
@@ -25,15 +30,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the one with the smallest id."""
-    kept = exact_dedup(docs).filter("kept").select("doc_id")
-    return _only(docs, kept)
+    """One row of each group of equal texts: the one with the smallest id, or any one where the group has no id or repeats it."""
+    kept = exact_dedup(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).alias("k")
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    keyed = row.select("row", F.col("row.doc_id").alias("id"), F.sha2(squeezed(F.col("row.text")), 256).alias("digest"))
+    met = keyed.join(kept, F.col("id").eqNullSafe(F.col("k.doc_id")) & (F.col("digest") == F.col("k.text_sha256"))).select("row", "id", "digest", "n")
+    once = met.filter("n = 1").unionByName(met.filter("n > 1").dropDuplicates(["id", "digest"]))
+    return once.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of five-word shingle sets at Jaccard 0.8 or more, the one with the smallest id."""
+    """One document of each component of five-word shingle sets at Jaccard 0.8 or more, the one with the smallest id.
+
+    Rows that share an id stay or go together; rows without one cannot be told apart and stay.
+    """
     groups = jaccard_components(docs, width=5, percent=80)
-    return _only(docs, groups.filter("doc_id = component_id OR doc_id IS NULL").select("doc_id"))
+    gone = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    left = row.join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti")
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +62,6 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, word_tokenizer())
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of the kept ids; rows that share an id, or have none, stay or go together."""
-    kept = ids.select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-
-
 STAGES = [
     ("quality", keep_quality),
     ("exact_dedup", drop_copies),
@@ -69,5 +78,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        made = Scratch.opened[:]
         docs = scratch.save(stage(spark, docs, sf_dir), name)
+        release(but=tuple(made))  # what the stage's operators wrote on their way
     return docs
