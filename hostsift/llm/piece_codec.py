@@ -8,10 +8,10 @@ on its own, all decoding to the same text.  A skipped merge is gone
 for good; a candidate that later merges make is a new one.
 
 A unit is a run of spaces with the run of other characters behind it; no piece of the model
-spans two units (checked when the model is loaded), so units are encoded one by one.  A
-bounded cache keeps what no seed changes: a unit's plain ids and the candidates met on the
-way to them.  Where an occurrence skips none of these, its ids are the plain ones; else
-its agenda is run again with its own hashes.
+spans two units (checked when the model is loaded), so units are encoded on their own.  All
+units of a batch run their agendas side by side: in each round every unit takes or skips its
+best candidate, in arrays of one column a unit.  Units of more than ``SHORT`` characters
+have an agenda each, with a heap.
 
 Round trip: decode(encode(text)) == text for every text, since characters without a piece
 go to byte pieces and white space is never changed.  Nulls and odd input: a null text has
@@ -24,8 +24,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,15 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RecentCache
-
 SPACE = "▁"
 #: Stands for a "▁" of the text itself, which must not be read back as a space; no text holds it.
 LITERAL = "\udc81"
-_UNIT = re.compile(r" *[^ ]+| +")
-_NONE = float("inf")
-#: Units of up to so many characters keep their agenda in a list.
+#: Units of up to so many characters run side by side, in arrays of these heights.
 SHORT = 64
+HEIGHTS = (8, 16, 32, SHORT)
+#: Characters encoded together; a longer text is a batch of its own.
+AT_ONCE = 1_000_000
+_NONE = np.int64(1 << 62)
 
 
 _MASK = (1 << 64) - 1
@@ -72,22 +70,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class _Units(RecentCache):
-    """Unit without its first space -> bytes of its plain ids, bytes of the codes of the candidates met."""
-
-    def __init__(self, owner: PieceModel):
-        super().__init__()
-        self.owner = owner
-
-    def make(self, rest: str) -> tuple[bytes, bytes]:
-        met: list[int] = []
-        ids = self.owner.unit(marked(rest), met=met)
-        return struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(met)}Q", *met)
-
-
-def marked(rest: str) -> str:
-    """The unit of ``rest`` with the model's marks for spaces."""
-    return (" " + rest).replace(SPACE, LITERAL).replace(" ", SPACE)
+def marked(text: str) -> str:
+    """The text with the model's dummy space in front and its marks for spaces."""
+    return (" " + text).replace(SPACE, LITERAL).replace(" ", SPACE)
 
 
 class PieceModel:
@@ -112,51 +97,83 @@ class PieceModel:
                 self.ids[piece] = k
                 self.rank[piece] = -m.get_score(k)
                 self.texts.append(piece.replace(SPACE, " ").encode())
-        self.cache = _Units(self)
-
-    def unit(self, unit: str, bar: int = 0, key: int = 0, met: list[int] | None = None) -> list[int]:
-        """Ids of one unit (spaces as the model's mark).
-
-        Candidates whose hash under ``key`` falls below ``bar`` (of 32 bits) are skipped; 0
-        for plain encoding, which adds the codes of the candidates taken to ``met``.
-        """
-        pieces = self._short(unit, bar, key, met) if len(unit) <= SHORT else self._long(unit, bar, key, met)
-        out = []
-        for piece in pieces:
-            known = self.ids.get(piece)
-            if known is None:
-                out += [self.bytes[b] for b in (SPACE if piece == LITERAL else piece).encode("utf-8", "replace")]
-            else:
-                out.append(known)
-        return out
-
-    def _short(self, unit: str, bar: int, key: int, met: list[int] | None) -> list[str]:
-        """The agenda as a plain list of ranks: its smallest, leftmost first, is the next candidate."""
-        rank, none = self.rank, _NONE
-        pieces, starts = list(unit), list(range(len(unit)))
-        agenda = [rank.get(a + b, none) for a, b in zip(pieces, pieces[1:], strict=False)]
-        while agenda:
-            best = min(agenda)
-            if best == none:
+        # Symbols are pieces by their ids and, from there on, characters that are no piece.
+        self.symbols = dict(self.ids)
+        self.spelled = [[k] for k in range(len(self.texts))]
+        # Merges: pairs of symbols by what they make, as rank; each rank is one piece.
+        order = sorted(self.ids, key=self.rank.get)
+        self.made = np.array([self.ids[piece] for piece in order], np.int64)
+        pairs = {}
+        for rank, piece in enumerate(order):
+            for cut in range(1, len(piece)):
+                left, right = piece[:cut], piece[cut:]
+                if (left in self.ids or cut == 1) and (right in self.ids or cut == len(piece) - 1):
+                    pairs[self.symbol(left) << 22 | self.symbol(right)] = rank
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.ranks = np.array([pairs[k] for k in sorted(pairs)], np.int64)
+
+    def symbol(self, text: str) -> int:
+        if text not in self.symbols:
+            self.symbols[text] = len(self.spelled)
+            self.spelled.append([self.bytes[b] for b in (SPACE if text == LITERAL else text).encode("utf-8", "replace")])
+        return self.symbols[text]
+
+    def candidate(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rank and place of the merge of two symbols in one number; ``_NONE`` where there is none."""
+        pair = left << 22 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.ranks[at] << 8 | place, _NONE)
+
+    def unit(self, unit: str, bar: int = 0, key: int = 0) -> list[int]:
+        """Ids of one unit (spaces as the model's mark); candidates whose hash under ``key`` falls below ``bar`` (of 32 bits) are skipped."""
+        return [k for piece in self._long(unit, bar, key) for k in self.spelled[self.symbol(piece)]]
+
+    def _side_by_side(self, flat: np.ndarray, first: np.ndarray, size: np.ndarray, keys: np.ndarray, bar: int) -> None:
+        """Runs the agendas of units of ``size`` symbols from ``first``; ``flat`` keeps each unit's pieces at their places, -1 between them."""
+        height = int(size.max())
+        place = np.arange(height)[:, None]
+        at = np.minimum(first + place, len(flat) - 1)
+        inside = place < size
+        ids, long, before = np.where(inside, flat[at], -1), inside.astype(np.int64), place - np.ones_like(size)
+        agenda = np.full((height, len(size)), _NONE)
+        if height > 1:
+            agenda[:-1] = np.where(inside[1:], self.candidate(ids[:-1], ids[1:], place[:-1]), _NONE)
+        unit = np.arange(len(size))  # the agenda's columns; columns without candidates are dropped now and then
+        while True:
+            best = agenda.min(axis=0)
+            col = np.flatnonzero(best < _NONE)
+            if not len(col):
                 break
-            k = agenda.index(best)
-            if bar or met is not None:
-                code = starts[k] * _PLACE + len(pieces[k]) * _LEFT + len(pieces[k + 1]) * _RIGHT
-                if met is not None:
-                    met.append(code & _MASK)
-                elif mixed((key + code) & _MASK) >> 32 < bar:
-                    agenda[k] = none
-                    continue
-            pieces[k] += pieces.pop(k + 1)
-            del starts[k + 1], agenda[k]
-            if k:
-                agenda[k - 1] = rank.get(pieces[k - 1] + pieces[k], none)
-            if k < len(agenda):
-                agenda[k] = rank.get(pieces[k] + pieces[k + 1], none)
-        return pieces
-
-    def _long(self, unit: str, bar: int, key: int, met: list[int] | None) -> list[str]:
-        """The same with a heap, for units where a list would take time in the square of their length."""
+            if 2 * len(col) < len(unit):
+                agenda, unit, best = agenda[:, col], unit[col], best[col]
+                col = np.arange(len(unit))
+            else:
+                best = best[col]
+            u, k, rank = unit[col], best & 255, best >> 8
+            a = long[k, u]
+            b = long[k + a, u]
+            if bar:
+                code = k.astype(np.uint64) * np.uint64(_PLACE) + a.astype(np.uint64) * np.uint64(_LEFT) + b.astype(np.uint64) * np.uint64(_RIGHT)
+                skipped = _mixed(keys[u] + code) >> np.uint64(32) < bar
+                agenda[k[skipped], col[skipped]] = _NONE
+                taken = ~skipped
+                u, k, rank, a, b, col = (x[taken] for x in (u, k, rank, a, b, col))
+            ids[k, u] = self.made[rank]
+            long[k, u] = a + b
+            long[k + a, u] = 0
+            agenda[k + a, col] = _NONE
+            after = k + a + b
+            agenda[k, col] = _NONE
+            more = np.flatnonzero(after < size[u])
+            before[after[more], u[more]] = k[more]
+            agenda[k[more], col[more]] = self.candidate(ids[k[more], u[more]], ids[after[more], u[more]], k[more])
+            left = before[k, u]
+            more = np.flatnonzero(left >= 0)
+            agenda[left[more], col[more]] = self.candidate(ids[left[more], u[more]], ids[k[more], u[more]], left[more])
+        flat[at[inside]] = np.where(long > 0, ids, -1)[inside]
+
+    def _long(self, unit: str, bar: int, key: int) -> list[str]:
+        """Pieces of one unit, its agenda in a heap."""
         n, rank = len(unit), self.rank
         after, before, size = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
         agenda: list[tuple[float, int, int, int]] = []
@@ -175,12 +192,8 @@ class PieceModel:
             right = left + a
             if size[left] != a or right >= n or size[right] != b:
                 continue
-            if bar or met is not None:
-                code = left * _PLACE + a * _LEFT + b * _RIGHT
-                if met is not None:
-                    met.append(code & _MASK)
-                elif mixed((key + code) & _MASK) >> 32 < bar:
-                    continue
+            if bar and mixed((key + left * _PLACE + a * _LEFT + b * _RIGHT) & _MASK) >> 32 < bar:
+                continue
             size[left], size[right] = a + b, 0
             after[left] = after[right]
             if after[left] < n:
@@ -195,24 +208,66 @@ class PieceModel:
         return out
 
     def encode(self, text: str, rate: float = 0.0, seed: int = 0, doc=None) -> np.ndarray:
-        """Ids of the text with the model's dummy space in front."""
-        if not text:
-            return np.zeros(0, np.uint32)
-        # Most texts have single spaces only; then the units are what stands between them.
-        plain = "  " not in text and text[0] != " "
-        rests = text.split(" ") if plain else [u[1:] for u in _UNIT.findall(" " + text)]
-        known = list(map(self.cache.__getitem__, rests))
-        made = [k[0] for k in known]
+        """Ids of one text."""
+        return self.encode_all([text], [doc], rate, seed)[0]
+
+    def encode_all(self, texts: list[str], docs: list, rate: float = 0.0, seed: int = 0) -> list[np.ndarray]:
+        """Ids of each text."""
+        out, low, held = [], 0, 0
+        for k, text in enumerate(texts):
+            if k > low and held + len(text) > AT_ONCE:
+                out += self._encode_some(texts[low:k], docs[low:k], rate, seed)
+                low, held = k, 0
+            held += len(text)
+        return out + self._encode_some(texts[low:], docs[low:], rate, seed)
+
+    def _encode_some(self, texts: list[str], docs: list, rate: float, seed: int) -> list[np.ndarray]:
+        full = [marked(t) if t else "" for t in texts]
+        points = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), "<u4")
+        ends = np.cumsum([len(t) for t in full])
+        if not len(points):
+            return [np.zeros(0, np.uint32) for _ in texts]
+        letters, which = np.unique(points, return_inverse=True)
+        flat = np.array([self.symbol(chr(c)) for c in letters.tolist()], np.int64)[which]
+        space = points == ord(SPACE)
+        opens = space.copy()
+        opens[1:] &= ~space[:-1]
+        begins = (ends - [len(t) for t in full])[[bool(t) for t in full]]
+        opens[begins] = True
+        first = np.flatnonzero(opens)
+        size = np.diff(np.append(first, len(points)))
         bar = int(rate * (1 << 32))
-        if bar:
-            keys = _mixed(np.arange(1, len(rests) + 1, dtype=np.uint64) * np.uint64(_STEP) + np.uint64(document_key(doc, seed)))
-            met = [k[1] for k in known]
-            owner = np.repeat(np.arange(len(rests)), np.fromiter(map(len, met), np.int64, len(met)) // 8)
-            draws = _mixed(keys[owner] + np.frombuffer(b"".join(met), "<u8")) >> np.uint64(32)
-            for at in dict.fromkeys(owner[draws < bar].tolist()):
-                ids = self.unit(marked(rests[at]), bar, int(keys[at]))
-                made[at] = struct.pack(f"<{len(ids)}I", *ids)
-        return np.frombuffer(b"".join(made), "<u4")
+        text_of = np.searchsorted(ends, first, side="right")
+        number = np.arange(len(first)) - np.searchsorted(first, first[np.searchsorted(first, begins)])[np.searchsorted(begins, first, side="right") - 1]
+        named = np.array([document_key(d, seed) if bar else 0 for d in docs], np.uint64)
+        keys = _mixed((number + 1).astype(np.uint64) * np.uint64(_STEP) + named[text_of])
+        low = 0
+        for high in HEIGHTS:
+            own = np.flatnonzero((size > low) & (size <= high))
+            if len(own):
+                self._side_by_side(flat, first[own], size[own], keys[own], bar)
+            low = high
+        joined = "".join(full) if (size > SHORT).any() else ""
+        for k in np.flatnonzero(size > SHORT).tolist():
+            at = int(first[k])
+            pieces = self._long(joined[at : at + int(size[k])], bar, int(keys[k]))
+            flat[at : at + int(size[k])] = -1
+            for piece in pieces:
+                flat[at] = self.symbol(piece)
+                at += len(piece)
+        kept = flat >= 0
+        symbols, cuts = flat[kept], np.cumsum(kept)[ends - 1]
+        cuts = np.where(ends > 0, cuts, 0)
+        spelled = symbols >= len(self.texts)
+        if spelled.any():  # characters that are no piece, as their bytes
+            counts = np.ones(len(symbols), np.int64)
+            counts[spelled] = [len(self.spelled[k]) for k in symbols[spelled].tolist()]
+            total = np.concatenate([[0], np.cumsum(counts)])
+            made = np.repeat(symbols, counts)
+            for k in np.flatnonzero(spelled).tolist():
+                made[total[k] : total[k + 1]] = self.spelled[symbols[k]]
+            symbols, cuts = made, total[cuts]
+        return np.split(symbols.astype("<u4"), cuts[:-1])
 
     def decode(self, ids) -> str:
         return b"".join(map(self.texts.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).decode("utf-8", "replace")[1:]
@@ -236,11 +291,11 @@ def encode_pieces(
     schema = T.StructType([*kept, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = model(path).encode
+        encode_all = model(path).encode_all
         for batch in batches:
-            made = []
-            for doc, text in zip(batch[id_col].to_pylist(), batch[text_col].to_pylist(), strict=True):
-                made.append(None if text is None else encode(text, rate, seed, doc).astype(np.int32))
+            texts = batch[text_col].to_pylist()
+            ids = encode_all([t or "" for t in texts], batch[id_col].to_pylist(), rate, seed)
+            made = [None if t is None else i.astype(np.int32) for t, i in zip(texts, ids, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in kept), pa.array(made, pa.list_(pa.int32()))], schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -269,11 +324,9 @@ def piece_report(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 0) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = model(path)
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                text = text.as_py() or ""
-                ids = codec.encode(text, rate, seed, doc)
-                rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), codec.decode(ids) == text))
+            texts = [t or "" for t in batch["text"].to_pylist()]
+            made = codec.encode_all(texts, batch["doc_id"].to_pylist(), rate, seed)
+            rows = [(len(i), hashlib.sha256(i.tobytes()).hexdigest(), codec.decode(i) == t) for i, t in zip(made, texts, strict=True)]
             made = map(pa.array, zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *made], ["doc_id", "n_pieces", "ids_sha256", "restored"])
 

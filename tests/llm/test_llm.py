@@ -130,23 +130,47 @@ def test_piece_codec(spark, piece_path):
     assert runs[0] == runs[1] != runs[2]
 
 
-def test_merge_dropout_draws_each_candidate(piece_path, monkeypatch):
+def brute_merges(model, unit, bar, key):
+    """The agenda by its definition: of all neighbours the best ranked, leftmost pair is next; a skipped pair stays skipped."""
+    pieces, gone = list(unit), set()
+    while True:
+        found = []
+        for k in range(len(pieces) - 1):
+            rank, at = model.rank.get(pieces[k] + pieces[k + 1]), sum(map(len, pieces[:k]))
+            if rank is not None and (at, len(pieces[k]), len(pieces[k + 1])) not in gone:
+                found.append((rank, at, k))
+        if not found:
+            return [i for piece in pieces for i in model.spelled[model.symbol(piece)]]
+        _, at, k = min(found)
+        a, b = len(pieces[k]), len(pieces[k + 1])
+        code = at * piece_codec._PLACE + a * piece_codec._LEFT + b * piece_codec._RIGHT
+        if piece_codec.mixed((key + code) & piece_codec._MASK) >> 32 < bar:
+            gone.add((at, a, b))
+        else:
+            pieces[k : k + 2] = [pieces[k] + pieces[k + 1]]
+
+
+def test_merge_dropout_draws_each_candidate(piece_path):
     model, codec = piece_codec.PieceModel(piece_path), piece_codec
-    word = "international"
-    text, bar = " ".join([word] * 2000), int(0.1 * 2**32)
+    word, rate = "international", 0.1
+    bar = int(rate * 2**32)
     key = lambda doc, at: codec.mixed((codec.document_key(doc, 3) + (at + 1) * codec._STEP) & codec._MASK)
-    cuts = [tuple(model.unit(codec.marked(word), bar, key(7, at))) for at in range(2000)]
-    assert model.encode(text, 0.1, 3, 7).tolist() == [k for c in cuts for k in c]
-    met = len(model.cache[word][1]) // 8
-    unskipped = sum(c == tuple(model.encode(word).tolist()) for c in cuts) / 2000
-    assert len(set(cuts)) > 20 and unskipped > 0.9**met - 0.05
-    assert len({model.encode(word, 0.1, 3, doc).tobytes() for doc in range(300)}) > 10
-    assert model.decode(model.encode(text, 0.1, 3, 7)) == text
-    long = "".join(random.Random(3).choice("abcdefgh") for _ in range(3000))  # far beyond a period of 32
-    assert sum(model.encode(long, 0.1, 3, doc).tobytes() == model.encode(long).tobytes() for doc in range(60)) == 0
-    short = [model.unit(codec.marked(word), bar, key(7, at)) for at in range(300)]
-    monkeypatch.setattr(codec, "SHORT", 0)
-    assert short == [model.unit(codec.marked(word), bar, key(7, at)) for at in range(300)]
+    cuts = [tuple(brute_merges(model, codec.marked(word), bar, key(7, at))) for at in range(2000)]
+    text = " ".join([word] * 2000)
+    assert model.encode(text, rate, 3, 7).tolist() == [k for c in cuts for k in c]
+    assert len(set(cuts)) > 20 and len({model.encode(word, rate, 3, doc).tobytes() for doc in range(300)}) > 10
+    assert model.decode(model.encode(text, rate, 3, 7)) == text
+    rng = random.Random(31)
+    letters = "abcdetnioé, ▁日\t.X"
+    units = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 7, 8, 9, 16, 17, 33, 63, 64, 65, 80]))) for _ in range(150)]
+    for doc, text in enumerate([" ".join(units), "  ".join(units[:40]) + "  ", " " + units[0], "x"]):
+        own = re.findall(r" *[^ ]+| +", " " + text)
+        assert model.encode(text, rate, 3, doc).tolist() == [i for at, u in enumerate(own) for i in brute_merges(model, u.replace("▁", codec.LITERAL).replace(" ", "▁"), bar, key(doc, at))]
+    long = "".join(rng.choice("abcdefgh") for _ in range(3000))
+    assert sum(model.encode(long, rate, 3, doc).tobytes() == model.encode(long).tobytes() for doc in range(60)) == 0
+    # Texts encoded together are encoded as alone, empty ones between them too.
+    texts = ["a b", "", "  ", "one two ", "", word]
+    assert [i.tolist() for i in model.encode_all(texts, [1, 2, 3, 4, None, 6], rate, 3)] == [model.encode(t, rate, 3, d).tolist() for t, d in zip(texts, [1, 2, 3, 4, None, 6], strict=True)]
 
 
 # --- 3
