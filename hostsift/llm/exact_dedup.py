@@ -196,3 +196,26 @@ def exact_dedup(
     return fixed.withColumn("keep_id", F.when(F.col("n2").isNull(), F.col("keep_id")).otherwise(F.col("k2"))).withColumn(
         "n", F.coalesce("n2", "n")
     ).select(*columns)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with one row of each group of equal texts: the one with the smallest id, or any one where the group has no id or repeats it.
+
+    Rows that the filter of repeated digests excludes pass as they stand; only the others are moved.
+    """
+    scratch = Scratch(docs.sparkSession, "copies")
+    told = exact_dedup(docs, id_col, text_col).filter("group_size > 1")
+    groups = scratch.save(
+        told.groupBy(F.col("text_sha256").alias("digest")).agg(
+            F.max("keep_id").alias("keep_id"), F.max("group_size").alias("n"), F.count_if("kept").alias("kept")
+        ), "groups",
+    )
+    may_hold = digest_filter(groups, scratch) or (lambda _: F.lit(True))
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    keyed = row.withColumn("digest", F.sha2(squeezed(F.col("row")[text_col]), 256))
+    maybe = scratch.save(keyed.filter(may_hold("digest")).withColumn("id", F.col("row")[id_col].cast("long")), "maybe")
+    marked = joined_by_size(maybe, groups, ["digest"], "n", "left").filter(F.col("n").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
+    once = marked.filter("n IS NULL OR kept = 1")
+    several = marked.filter("kept > 1").dropDuplicates(["id", "digest"])
+    left = keyed.filter(~may_hold("digest")).select("row").unionByName(once.select("row")).unionByName(several.select("row"))
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
