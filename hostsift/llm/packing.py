@@ -52,6 +52,8 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 class _Pieces(RecentCache):
     """Piece in lower case -> its ids as bytes, by the tokenizer's model alone."""
 
+    limit = 100_000
+
     def __init__(self, tokenize):
         super().__init__()
         self.tokenize = tokenize
@@ -76,7 +78,7 @@ class TokenBytes(RecentCache):
     through the whole tokenizer.  Tokens and pieces are kept in bounded caches.
     """
 
-    limit = 400_000
+    limit = 200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -99,6 +101,10 @@ class TokenBytes(RecentCache):
             return b"".join(map(self.pieces.__getitem__, _PIECE.findall(chunk.lower())))
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def shrink(self) -> None:
+        """For the end of a task: an idle worker keeps the young generations only."""
+        self.old, self.pieces.old = {}, {}
+
     def encode(self, text: str | None) -> bytes:
         # str.split also cuts at 1C to 1F, which the tokenizer keeps.
         chunks = _SPLIT.split(text) if text and _CONTROL.search(text) else (text or "").split()
@@ -132,6 +138,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capa
                     uid += 1
             of, *made = np.array(rows, np.int64).reshape(-1, 6).T
             yield pa.RecordBatch.from_arrays([made[0], batch["doc_id"].take(pa.array(of)), *made[1:]], PIECES)
+        encoder(tokenizer).shrink()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in PIECES))
