@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostsift.llm.common import Scratch, release, squeezed, table
-from hostsift.llm.exact_dedup import exact_dedup
+from hostsift.llm.common import Scratch, release, table
+from hostsift.llm.exact_dedup import without_copies
 from hostsift.llm.jaccard_join import jaccard_components
 from hostsift.llm.packing import pack_documents
 from hostsift.llm.quality import quality_filter
@@ -31,12 +31,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: the one with the smallest id, or any one where the group has no id or repeats it."""
-    kept = exact_dedup(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).alias("k")
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    keyed = row.select("row", F.col("row.doc_id").alias("id"), F.sha2(squeezed(F.col("row.text")), 256).alias("digest"))
-    met = keyed.join(kept, F.col("id").eqNullSafe(F.col("k.doc_id")) & (F.col("digest") == F.col("k.text_sha256"))).select("row", "id", "digest", "n")
-    once = met.filter("n = 1").unionByName(met.filter("n > 1").dropDuplicates(["id", "digest"]))
-    return once.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
