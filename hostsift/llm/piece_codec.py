@@ -40,6 +40,8 @@ SHORT = 64
 HEIGHTS = (8, 16, 32, SHORT)
 #: Characters encoded together; a longer text is a batch of its own.
 AT_ONCE = 1_000_000
+#: Units that run side by side at most.
+UNITS = 1 << 15
 _NONE = np.int64(1 << 62)
 
 
@@ -243,8 +245,9 @@ class PieceModel:
         keys = _mixed((number + 1).astype(np.uint64) * np.uint64(_STEP) + named[text_of])
         low = 0
         for high in HEIGHTS:
-            own = np.flatnonzero((size > low) & (size <= high))
-            if len(own):
+            units = np.flatnonzero((size > low) & (size <= high))
+            for at in range(0, len(units), UNITS):
+                own = units[at : at + UNITS]
                 self._side_by_side(flat, first[own], size[own], keys[own], bar)
             low = high
         joined = "".join(full) if (size > SHORT).any() else ""
