@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import collocations
 from .common import table
+from .conversation_trie import conversation_trie
 from .embedding_dedup import near_vectors
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .license_scan import FULL_TEMPLATES, license_report
+from .mixing import mix_plan
 from .packing import pack_documents
 from .piece_codec import piece_report
 from .quality import classify_quality
@@ -68,6 +71,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -81,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_mixing": op11_mixing,
+    "op12_collocations": op12_collocations,
+    "op13_conversation_trie": op13_conversation_trie,
 }

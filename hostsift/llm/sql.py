@@ -85,10 +85,67 @@ def _licenses() -> str:
     """
 
 
+MIXING = r"""
+    WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) AS key FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source),
+    o AS (SELECT *, 3 * source_size AS bound, row_number() OVER (ORDER BY 3 * source_size / weight, source) AS place FROM s),
+    b AS (SELECT *, sum(source_size) OVER () - coalesce(sum(bound) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+                 sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS shared FROM o),
+    level AS (SELECT arg_min(rest, place) AS rest, arg_min(shared, place) AS shared, min(place) AS place FROM b WHERE rest * weight <= bound * shared),
+    t AS (SELECT b.source, source_size, CASE WHEN b.place < level.place THEN bound::DOUBLE ELSE (level.rest * weight)::DOUBLE / level.shared::DOUBLE END AS target FROM b, level),
+    r AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+                 ('0x' || substr(md5('11:' || key), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    c AS (SELECT *, floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM r)
+    SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies::BIGINT AS copies FROM c
+"""
+
+COLLOCATIONS = r"""
+    WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d)),
+    c AS (SELECT lang, k, phrase, count(*) AS f FROM (
+              SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 6) x(k) WHERE len(w) >= k)
+          GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+    q AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM c WHERE k > 1 AND f >= 100),
+    longer AS (SELECT lang, inside, max(a) AS most FROM (
+                   SELECT lang, k, a, m, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS inside FROM q, range(2, 5) x(m) WHERE m < k)
+               GROUP BY ALL),
+    cut AS (SELECT lang, phrase, a, i, array_to_string(w[:i], ' ') AS first, array_to_string(w[i + 1:], ' ') AS rest FROM q, range(1, 5) x(i) WHERE i < k),
+    s AS (SELECT cut.lang, cut.phrase, a, n, i, l.f AS l, r.f AS r, (1000::HUGEINT * a * n // (l.f::HUGEINT * r.f))::BIGINT AS score
+          FROM cut JOIN n USING (lang) JOIN c l ON l.lang = cut.lang AND l.phrase = first JOIN c r ON r.lang = cut.lang AND r.phrase = rest),
+    m AS (SELECT lang, phrase, any_value(a) AS a, any_value(n) AS n, arg_min(l, (score, i)) AS l, arg_min(r, (score, i)) AS r, min(score) AS score FROM s GROUP BY lang, phrase),
+    k AS (SELECT m.* FROM m LEFT JOIN longer ON longer.lang = m.lang AND inside = phrase WHERE most IS NULL OR 100 * most < 100 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM k
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+#: Unsigned CRC-32 of a whole number's digits, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, unused: xor(v // 2, 3988292384 * (v % 2)))), 4294967295::BIGINT)"""
+
+TRIE = rf"""
+    WITH y AS (SELECT conv_id AS c, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key, octet_length(encode(coalesce(text, ''))) AS bytes FROM conversations WHERE conv_id IS NOT NULL),
+    t AS (SELECT c, key, bytes, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, key) AS pos FROM y),
+    z AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+    x AS (SELECT z.c, {_CRC.replace("c::VARCHAR", "z.c::VARCHAR")} % 9 AS h, b.c AS base, coalesce(b.n, 0) AS base_n, z.n FROM z LEFT JOIN z b ON b.c = z.c - z.c % 5),
+    r AS (SELECT x.c, t.pos AS d, key, bytes FROM x JOIN t ON t.c = base AND t.pos <= h UNION ALL SELECT c, least(h, base_n) + pos - h, key, bytes FROM x JOIN t USING (c) WHERE pos > h),
+    len AS (SELECT x.c, coalesce(max(d), 0) AS len FROM x LEFT JOIN r USING (c) GROUP BY x.c),
+    p AS (SELECT c, d, bytes, string_agg(key, '') OVER (PARTITION BY c ORDER BY d) AS path FROM r UNION ALL SELECT c, 0, 0, '' FROM x),
+    g AS (SELECT path, d, min(p.c) AS conv, count(*) AS n_convs, any_value(bytes) AS bytes, string_agg(p.c::VARCHAR, ',' ORDER BY p.c) FILTER (len = d) AS ended FROM p JOIN len USING (c) GROUP BY path, d),
+    k AS (SELECT path[:-65] AS path, d - 1 AS d, count(*) AS n_children FROM g WHERE d > 0 GROUP BY ALL),
+    u AS (SELECT g.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS saved FROM g LEFT JOIN k USING (path, d)),
+    a AS (SELECT p.path, p.d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM u JOIN p ON p.c = conv AND p.d <= u.d GROUP BY ALL)
+    SELECT u.conv AS conv_id, u.d::BIGINT AS depth, o.conv AS parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens, sha256(coalesce(u.ended, '')) AS ends_sha256
+    FROM u JOIN a USING (path, d) LEFT JOIN u o ON u.d > 0 AND o.path = u.path[:-65] AND o.d = u.d - 1
+"""
+
 SQL: dict[str, str] = {
     "op1_exact_dedup": EXACT,
     "op3_embedding_dedup": VECTORS,
     "op7_license_scan": _licenses(),
     "op8_secret_scan": _secrets(),
     "op9_jaccard_join": JACCARD,
+    "op11_mixing": MIXING,
+    "op12_collocations": COLLOCATIONS,
+    "op13_conversation_trie": TRIE,
 }
