@@ -37,6 +37,8 @@ from .common import Scratch, joined_by_size
 LEAST, LONGEST, TOP, PERCENT = 100, 5, 2000, 100
 #: Words of a stretch: what a task counts at a time.
 STRETCH = 4_000_000
+#: Rows that a task hands on at a time.
+PART = 200_000
 #: Bytes of a text that are cut into words at a time.
 SLICE = 1 << 20
 #: Bits of a field of frequent words or pairs: 16 for each, between these bounds (8 MB at most).
@@ -161,6 +163,8 @@ def _counted(stretch: Stretch, lang: str, words: Field | None, pairs: Field | No
     """(phrases, counts) of one stretch: single words, or pairs, or phrases of three words and more, as far as the fields reach."""
     codes = np.concatenate(stretch.parts)
     names = list(stretch.numbers)
+    stretch.parts.clear()
+    stretch.numbers.clear()
     texts = pa.array(names, pa.binary())
     if words is None:
         counts = np.bincount(codes, minlength=len(names))
@@ -169,15 +173,21 @@ def _counted(stretch: Stretch, lang: str, words: Field | None, pairs: Field | No
     hashes = _names(lang.encode(), names)
     good = words.has(hashes)
     good[0] = False
+    del names
     ok = good[codes]
     # Runs of frequent words alone are looked at: pairs of neighbours in the text that are both frequent.
     at = np.flatnonzero(ok[:-1] & ok[1:])
-    wide = len(names)
+    wide = len(good)
     both = codes[at].astype(np.int64) * wide + codes[at + 1]
     if pairs is None:
-        packed, counts = np.unique(both, return_counts=True)
-        left, right = packed // wide, packed % wide
-        yield pc.binary_join_element_wise(texts.take(pa.array(left)), texts.take(pa.array(right)), b" "), counts
+        del codes, ok, at
+        both.sort()
+        firsts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1]))) if len(both) else np.zeros(0, np.int64)
+        packed, counts = both[firsts], np.diff(np.append(firsts, len(both)))
+        del both, firsts
+        for part in range(0, len(packed), PART):
+            left, right = packed[part : part + PART] // wide, packed[part : part + PART] % wide
+            yield pc.binary_join_element_wise(texts.take(pa.array(left)), texts.take(pa.array(right)), b" "), counts[part : part + PART]
         return
     packed, where = np.unique(both, return_inverse=True)
     left, right = packed // wide, packed % wide
@@ -215,10 +225,10 @@ def phrase_counts(docs: DataFrame, words: np.ndarray | None, pairs: np.ndarray |
         def flush(lang: str) -> Iterator[pa.RecordBatch]:
             own = held.pop(lang)
             for texts, counts in _counted(own, lang, *fields, longest):
-                for at in range(0, len(texts), 200_000):
-                    part = texts[at : at + 200_000].cast(pa.string())
+                for at in range(0, len(texts), PART):
+                    part = texts[at : at + PART].cast(pa.string())
                     names = pa.array([lang]).take(pa.array(np.zeros(len(part), np.int64)))
-                    yield pa.RecordBatch.from_arrays([names, part, pa.array(counts[at : at + 200_000])], ["lang", "phrase", "n"])
+                    yield pa.RecordBatch.from_arrays([names, part, pa.array(counts[at : at + PART])], ["lang", "phrase", "n"])
 
         total = 0
         for batch in batches:
