@@ -12,10 +12,10 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .operators import lifecycle, run, sinks
+from .operators import buckets, lifecycle, run, sinks
 from .operators.suffixes import public_suffix_rules
 from .sources import lists
-from .sources.config import geo_provider, load_config, resolver_key
+from .sources.config import load_config, run_settings
 
 
 def run_config(spark: SparkSession, path: str, root: str, providers: dict, overrides: str, now: str, complete: bool = True) -> dict:
@@ -28,18 +28,10 @@ def run_config(spark: SparkSession, path: str, root: str, providers: dict, overr
     on = [s for s in sources if s.enabled]
     lines = lists.source_lines(spark, on)
     formats = {s.id: s.input["format"] for s in on if s.input["format"] != "auto"}
-    entries, ended = run.prepared(lines, lists.override_lines(spark, overrides, name), public_suffix_rules(spark), formats)
+    settings = run_settings(on, cache)
+    entries, ended = run.prepared(lines, lists.override_lines(spark, overrides, name), public_suffix_rules(spark), formats, settings.sources)
     paths = sinks.output_paths(root, name)
-    layers = {k: (sinks.read_table(spark, paths[k]), None) for k in ("root", "dns", "geo")}
-    days = cache["classification_ttl_days"]
-    first = on[0].settings
-    settings = run.Settings(
-        policies={s.id: s.policy() for s in on if s.settings["geo"]["enabled"]},
-        without_dns=frozenset(s.id for s in on if not s.settings["dns"]["enabled"]), without_geo=frozenset(s.id for s in on if not s.settings["geo"]["enabled"]),
-        geo_provider=geo_provider(first["geo"]), resolver_key=resolver_key(first["dns"]),
-        registered_days=days["rdap_registrable_domain_registered"], unregistered_days=days["rdap_registrable_domain_unregistered"],
-        unavailable_days=days["rdap_lookup_unavailable"], dns_days=cache["dns_ttl_days"], geo_days=first["geo"]["cache_ttl_days"],
-    )
+    layers = {k: (buckets.read(spark, paths[k]), None) for k in ("root", "dns", "geo")}
     lookups = run.Lookups(**providers, root_cache=layers["root"], dns_cache=layers["dns"], geo_cache=layers["geo"])
     work = f"{root}/work/{name}-{datetime.datetime.now(datetime.UTC):%Y%m%d%H%M%S%f}"
 

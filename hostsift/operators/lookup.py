@@ -11,7 +11,10 @@ from __future__ import annotations
 import email.utils
 import random
 import time
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -19,20 +22,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import cache as C
+from .places import Keep, with_group_places
 
 Provider = Callable[[DataFrame], DataFrame]
 
 # Addresses in one bulk request of each geo service.
 BULK_SIZES = {"geojs": 100, "ipinfo_lite": 1000}
-RETRY_HTTP = {408, 429, 502, 503, 504}
+RETRY_HTTP = frozenset({408, 429, 502, 503, 504})
+#: Of geo services; 0 stands for a request that got no answer.
+RETRY_GEO = frozenset({0, 429, 500, 502, 503, 504})
 
 
 def fixture(answers: DataFrame, on: list[str]) -> Provider:
     return lambda keys: keys.join(answers, on)
 
 
-def per_partition(make_client: Callable[[], Callable[[dict], dict]], schema: str) -> Provider:
-    """A provider that makes one client a partition and asks it a key at a time."""
+def windowed(items: Iterable, ask: Callable, in_flight: int) -> Iterator:
+    """ask(item) for each item, at most ``in_flight`` at a time, in the order of the items."""
+    with ThreadPoolExecutor(in_flight) as pool:
+        window: deque = deque()
+        for item in items:
+            if len(window) >= in_flight:
+                yield window.popleft().result()
+            window.append(pool.submit(ask, item))
+        while window:
+            yield window.popleft().result()
+
+
+def _in_batches(rows: Iterator, columns: list[str], size: int) -> Iterator[pd.DataFrame]:
+    while held := list(islice(rows, size)):
+        yield pd.DataFrame(held, columns=columns)
+
+
+def per_partition(make_client: Callable[[], Callable[[dict], dict]], schema: str, in_flight: int = 8, batch: int = 256) -> Provider:
+    """A provider that makes one client a partition and asks it a key at a time, ``in_flight`` keys at once.
+
+    The client is called by several threads.  A partition holds the keys of a batch and the
+    answers of as many; keys come distinct, so none is asked twice.
+    """
 
     def provider(keys: DataFrame) -> DataFrame:
         names = keys.columns
@@ -40,9 +67,8 @@ def per_partition(make_client: Callable[[], Callable[[dict], dict]], schema: str
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             client = make_client()
-            for batch in batches:
-                rows = [{**key, **client(key)} for key in batch[names].to_dict("records")]
-                yield pd.DataFrame(rows, columns=columns)
+            asked = (dict(zip(names, key, strict=True)) for b in batches for key in b[names].itertuples(index=False))
+            yield from _in_batches(windowed(asked, lambda key: {**key, **client(key)}, in_flight), columns, batch)
 
         return keys.mapInPandas(run, schema)
 
@@ -51,13 +77,13 @@ def per_partition(make_client: Callable[[], Callable[[dict], dict]], schema: str
 
 def with_retries(
     ask: Callable[[], tuple[int, str, float | None]], attempts: int = 4, low: float = 0.5, high: float = 30.0, cap: float = 120.0,
-    sleep: Callable[[float], None] = time.sleep,
+    sleep: Callable[[float], None] = time.sleep, retry: frozenset[int] = RETRY_HTTP,
 ) -> tuple[int, str]:
     """Asks until the answer's status needs no retry; waits as the server says (capped) or twice as long each time."""
     status, body = 0, ""
     for attempt in range(attempts):
         status, body, after = ask()
-        if status not in RETRY_HTTP:
+        if status not in retry:
             break
         if attempt + 1 < attempts:
             sleep(min(after, cap) if after is not None else min(high, low * 2**attempt) * random.uniform(0.5, 1.0))
@@ -150,11 +176,90 @@ def bulk_chunks(keys: DataFrame, order: str, size: int) -> DataFrame:
     return lanes.withColumn("chunk", F.concat_ws("-", "lane", F.floor((n - 1) / size)))
 
 
-def rejoined(rows: DataFrame, answers: DataFrame, id_col: str, array: str, key: str = "ip") -> DataFrame:
-    """id with results, the answers of its array's members in the array's order; members without an answer are invalid."""
-    rest = [c for c in answers.columns if c != key]
-    members = rows.select(id_col, F.posexplode(array).alias("pos", key))
-    joined = members.join(answers, key, "left")
+def bulk_requests(keys: DataFrame, keep: Keep, sizes: dict[str, int] = BULK_SIZES) -> DataFrame:
+    """provider, chunk and ips: the fewest requests that hold all (provider, ip), each of at most its service's size.
+
+    Addresses are numbered by range partitions, so a service that holds them all is not one task.
+    """
+    size = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("provider"))
+    placed = with_group_places(keys.select("provider", "ip"), "provider", ["ip"], keep, "bulk")
+    chunks = placed.withColumn("chunk", F.floor(F.col("place") / size))
+    return chunks.groupBy("provider", "chunk").agg(F.sort_array(F.collect_list("ip")).alias("ips"))
+
+
+Client = Callable[[str, list[str]], tuple[int, str, float | None]]
+
+
+def bulk_asked(requests: DataFrame, make_client: Callable[[], Client], in_flight: int = 8, attempts: int = 3, tasks: int | None = None) -> DataFrame:
+    """Requests with http_status (0: no answer), body and tries.
+
+    A client takes (provider, ips) and gives (status, body, seconds that the service asks to
+    wait or None); an OSError counts as no answer.  A task has at most ``in_flight``
+    requests under way, so all tasks together have at most ``tasks`` times as many.
+    """
+    columns = ["provider", "chunk", "ips", "http_status", "body", "tries"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = make_client()
+
+        def one(row: tuple) -> tuple:
+            provider, chunk, ips = row
+            tries = 0
+
+            def ask() -> tuple[int, str, float | None]:
+                nonlocal tries
+                tries += 1
+                try:
+                    status, body, after = client(provider, list(ips))
+                except OSError:
+                    return 0, "", None
+                return status, body, after if status == 429 else None
+
+            status, body = with_retries(ask, attempts, 0.1, 1.0, retry=RETRY_GEO)
+            return provider, chunk, ips, status, body, tries
+
+        rows = (row for b in batches for row in b[columns[:3]].itertuples(index=False, name=None))
+        yield from _in_batches(windowed(rows, one, in_flight), columns, in_flight)
+
+    dealt = requests.repartition(tasks) if tasks else requests
+    return dealt.mapInPandas(run, "provider string, chunk long, ips array<string>, http_status int, body string, tries int")
+
+
+def decoded_bulk(asked: DataFrame) -> DataFrame:
+    """provider, ip, country_code, region_code, region_name, status of each address of each request.
+
+    One service answers with a list of rows, of which the first of an address holds, the
+    other with a map.  What a request does not answer for is an invalid payload.
+    """
+    # Items stay JSON texts, so one odd item does not spoil its request.
+    listed, mapped = F.from_json("body", "array<string>"), F.from_json("body", "map<string, string>")
+    of = lambda ip: F.when(
+        F.col("provider") == "geojs", F.get(F.filter("listed", lambda r: F.get_json_object(r, "$.ip") == ip), F.lit(0))
+    ).otherwise(F.try_element_at("mapped", ip))
+    found = F.transform("ips", lambda ip: F.struct(ip.alias("ip"), of(ip).alias("item")))
+    rows = asked.select("provider", "http_status", "ips", F.when(F.col("provider") == "geojs", listed).alias("listed"), F.when(F.col("provider") != "geojs", mapped).alias("mapped"))
+    rows = rows.select("provider", "http_status", F.explode(found).alias("r")).select("provider", "http_status", "r.ip", "r.item")
+    good = (F.col("http_status") == 200) & F.coalesce(F.col("item").startswith("{"), F.lit(False))
+    text = lambda c: F.when(good, F.trim(F.coalesce(F.get_json_object("item", f"$.{c}"), F.lit("")))).otherwise("")
+    status = (
+        F.when(F.col("http_status") == 429, "rate_limited").when(F.col("http_status") != 200, "request_failed").when(good, "ok").otherwise("invalid_payload")
+    )
+    return rows.select("provider", "ip", F.upper(text("country_code")).alias("country_code"), F.lit("").alias("region_code"), F.when(F.col("provider") == "geojs", text("region")).otherwise("").alias("region_name"), status.alias("status"))
+
+
+def bulk_geo(make_client: Callable[[], Client], keep: Keep, in_flight: int = 8, attempts: int = 3, tasks: int | None = None, sizes: dict[str, int] = BULK_SIZES) -> Provider:
+    """A geo provider over bulk requests; what was asked is written before it is decoded."""
+    return lambda keys: decoded_bulk(keep(bulk_asked(bulk_requests(keys, keep, sizes), make_client, in_flight, attempts, tasks), "asked"))
+
+
+def rejoined(rows: DataFrame, answers: DataFrame, id_col: str, array: str, key: str = "ip", also: tuple[str, ...] = ()) -> DataFrame:
+    """id with results, the answers of its array's members in the array's order; members without an answer are invalid.
+
+    ``also`` names columns of both sides that belong to the key.
+    """
+    rest = [c for c in answers.columns if c not in (key, *also)]
+    members = rows.select(id_col, *also, F.posexplode(array).alias("pos", key))
+    joined = members.join(answers, [*also, key], "left")
     results = F.transform(F.array_sort(F.collect_list(F.struct("pos", key, *rest))), lambda r: F.struct(r[key].alias(key), *[r[c].alias(c) for c in rest]))
     return joined.withColumn("status", F.coalesce("status", F.lit("invalid_payload"))).groupBy(id_col).agg(results.alias("results"))
 

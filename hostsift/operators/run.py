@@ -7,6 +7,7 @@ rules have ended never reach the next lookup.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -20,6 +21,7 @@ from . import cache as C
 from . import lookup as L
 from . import prepare as P
 from . import screening as R
+from .suffixes import with_server
 
 Layers = tuple[DataFrame | None, DataFrame | None]
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -27,21 +29,55 @@ NO_LAYERS: Layers = (None, None)
 
 
 @dataclass(frozen=True)
-class Settings:
-    """What the rows of a run need of its configuration; sets and maps go by source id."""
+class SourceSettings:
+    """What the rows of one source need of the configuration.
 
-    policies: Mapping[str, G.Policy] = field(default_factory=dict)
-    without_dns: frozenset[str] = frozenset()
-    without_geo: frozenset[str] = frozenset()
-    geo_provider: str = "ipinfo_lite"
+    Sources that share a host must share ``execution_profile``, or ``rdap_profile`` where the
+    host is added by hand.
+    """
+
+    dns_enabled: bool = True
+    geo_enabled: bool = True
     resolver_key: str = "system|ecs=off"
+    geo_provider: str = "ipinfo_lite"
+    geo_days: int = 7
+    policy: G.Policy = field(default_factory=lambda: G.Policy(enabled=False))
+    execution_profile: str = ""
+    rdap_profile: str = ""
+
+
+#: Each row's settings while it is screened.
+CFG_TYPE = f"struct<dns_enabled boolean, geo_enabled boolean, resolver_key string, geo_provider string, geo_days int, policy {G.POLICY_TYPE}>"
+
+
+@dataclass(frozen=True)
+class Settings:
+    """Settings of a run: by source, for rows of no named source, and those that hold for all rows."""
+
+    sources: Mapping[str, SourceSettings] = field(default_factory=dict)
+    other: SourceSettings = field(default_factory=SourceSettings)
     hold: tuple[str, ...] = ()
     deletion: tuple[str, ...] = ()
     registered_days: int = 7
     unregistered_days: int = 7
     unavailable_days: int = 7
     dns_days: int = 1
-    geo_days: int = 7
+
+
+def _cfg(s: SourceSettings) -> tuple:
+    side = lambda r: (r.countries, r.region_codes, r.region_names)
+    policy = (s.policy.enabled, s.policy.match, side(s.policy.include), side(s.policy.exclude))
+    return (s.dns_enabled, s.geo_enabled, s.resolver_key, s.geo_provider, s.geo_days, policy)
+
+
+def with_settings(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Adds struct ``cfg`` of each row's source.  The relation has one row a source of the configuration file, so it is broadcast."""
+    spark = rows.sparkSession
+    schema = f"source_id string, __cfg {CFG_TYPE}"
+    known = spark.createDataFrame([(name, _cfg(s)) for name, s in settings.sources.items()], schema)
+    other = spark.createDataFrame([(_cfg(settings.other),)], f"__other {CFG_TYPE}").first()["__other"]
+    fallback = F.from_json(F.lit(json.dumps(other.asDict(recursive=True))), CFG_TYPE)
+    return rows.join(F.broadcast(known), "source_id", "left").withColumn("cfg", F.coalesce("__cfg", fallback)).drop("__cfg")
 
 
 @dataclass(frozen=True)
@@ -54,12 +90,52 @@ class Lookups:
     root_cache: Layers = NO_LAYERS
     dns_cache: Layers = NO_LAYERS
     geo_cache: Layers = NO_LAYERS
+    #: Registry servers by suffix (see ``suffixes.bootstrap_services``), for roots that no plan names.
+    services: DataFrame | None = None
 
 
-def prepared(lines: DataFrame, overrides: Mapping[str, DataFrame], rules: DataFrame, formats: Mapping[str, str] = {}) -> tuple[DataFrame, DataFrame]:
+def conflict_errors(entries: DataFrame, outs: DataFrame, adds: DataFrame, sources: Mapping[str, SourceSettings]) -> list[str]:
+    """Texts naming the first host whose sources must agree and do not, for each kind of conflict.
+
+    Hosts taken out by hand are not asked about; those added by hand need the same registry settings only.
+    """
+    if len({s.execution_profile for s in sources.values()}) < 2:  # all sources agree
+        return []
+    spark = entries.sparkSession
+    profiles = spark.createDataFrame([(n, s.execution_profile, s.rdap_profile) for n, s in sources.items()], "source_id string, execution string, registry string")
+    rows = entries.select("host", "source_id", "source_index", "line_index").join(outs.select("host"), "host", "left_anti").join(F.broadcast(profiles), "source_id")
+    by_hand = adds.select("host").distinct()
+    kinds = (
+        (rows.join(by_hand, "host", "left_anti"), "execution", "different runtime behaviour"),
+        (rows.join(by_hand, "host", "left_semi"), "registry", "different registry behaviour while it is added by hand"),
+    )
+    found = []
+    for own, profile, text in kinds:
+        first = P.profile_conflicts(own, "host", profile).orderBy("host").limit(1).collect()
+        found += [f"{r['host']} is in sources of {text}: {r['first_source']} and {r['second_source']}" for r in first]
+    return found
+
+
+def override_errors(passes: DataFrame, adds: DataFrame, sources: Mapping[str, SourceSettings]) -> list[str]:
+    """What the override lists demand of the configuration as a whole, and names that cannot be added by hand."""
+    found, on = [], list(sources.values())
+    suffix = adds.filter("is_public_suffix_input").agg(F.min("host")).first()[0]
+    if suffix is not None:
+        found.append(f"manual_add names the public suffix {suffix}")
+    if on and len({s.dns_enabled for s in on} | {True}) > 1 and not passes.isEmpty():
+        found.append("manual_filter_pass needs dns.enabled in all sources")
+    if len({s.rdap_profile for s in on}) > 1 and not adds.isEmpty():
+        found.append("manual_add needs the same rdap settings in all sources")
+    return found
+
+
+def prepared(
+    lines: DataFrame, overrides: Mapping[str, DataFrame], rules: DataFrame, formats: Mapping[str, str] = {}, sources: Mapping[str, SourceSettings] = {},
+) -> tuple[DataFrame, DataFrame]:
     """(entries to screen, rows that end in preparation) of raw source lines and the lines of the three override lists.
 
     ``formats`` holds the sources whose format is given; the others are told by their lines.
+    ``sources`` holds the settings whose conflicts are errors.
     """
     free = lines.filter(~F.col("source_id").isin(list(formats))) if formats else lines
     entries = P.parse_lines(free, rules)
@@ -67,7 +143,8 @@ def prepared(lines: DataFrame, overrides: Mapping[str, DataFrame], rules: DataFr
         own = [s for s, f in formats.items() if f == form]
         entries = entries.unionByName(P.parse_lines(lines.filter(F.col("source_id").isin(own)), rules, form))
     passes, outs, adds = (P.parse_lines(overrides[k], rules, "plain") for k in ("manual_filter_pass", "manual_filter_out", "manual_add"))
-    P.checked(P.overlap_errors(passes, outs, adds))
+    P.checked(P.overlap_errors(passes, outs, adds) + override_errors(passes, adds, sources))
+    P.checked(conflict_errors(entries, outs, adds, sources))
     kept, removed, unmatched = P.apply_overrides(entries, passes, outs, adds)
     return kept, preparation_rows(removed, unmatched)
 
@@ -96,17 +173,21 @@ def registry_answers(roots: DataFrame, plan: DataFrame | None, lookups: Lookups,
 
     A root whose server the plan calls unavailable is not asked at all.  A cached verdict
     holds, but for a registered root whose statuses are not complete, which is asked again.
+    The cache keeps roots under ``domain``, as its files do.
     """
     on = ["registrable_domain"]
+    layers = [None if c is None else c.withColumnRenamed("domain", "registrable_domain") for c in lookups.root_cache]
     if plan is None:
-        asked, bypassed = roots.withColumn("authoritative_base_url", F.lit(None).cast("string")), None
+        served = lookups.services is not None
+        asked = with_server(roots, lookups.services) if served else roots.withColumn("authoritative_base_url", F.lit(None).cast("string"))
+        bypassed = None
     else:
         planned = roots.join(plan.select(*on, "status", "authoritative_base_url"), on, "left")
         off = F.coalesce(F.col("status") == "unavailable", F.lit(False))
         asked, bypassed = planned.filter(~off).drop("status"), planned.filter(off).select(*on)
-    cached = C.layered(asked, *lookups.root_cache, on, now)
+    cached = C.layered(asked, *layers, on, now)
     verdict = F.struct(F.col("exists"), F.col("statuses"))
-    if lookups.root_cache == NO_LAYERS:
+    if all(c is None for c in layers):
         again, out = cached, None
     else:
         again = cached.filter(C.needs_refresh(cached))
@@ -133,43 +214,29 @@ DNS_FIELDS = ["a_exists", "a_nodata", "a_nxdomain", "a_timeout", "a_servfail", "
 
 
 def dns_answers(hosts: DataFrame, lookups: Lookups, settings: Settings, now: Column, keep: Keep) -> tuple[DataFrame, DataFrame]:
-    """(host, dns; rows for the DNS cache).  Every answer is cached, timeouts included."""
-    keys = hosts.select("host", F.lit(settings.resolver_key).alias("resolver_key"))
+    """(host, resolver_key, dns; rows for the DNS cache) of hosts and their resolver keys.  Every answer is cached, timeouts included."""
     answers, live = L.looked_up(
-        keys, ["host", "resolver_key"], now, lambda df: lookups.dns(df).select("host", "resolver_key", *DNS_FIELDS), *lookups.dns_cache, lambda df: keep(df, "dns")
+        hosts, ["host", "resolver_key"], now, lambda df: lookups.dns(df).select("host", "resolver_key", *DNS_FIELDS), *lookups.dns_cache, lambda df: keep(df, "dns")
     )
-    return answers.select("host", F.struct(*DNS_FIELDS).alias("dns")), C.stamped(live, now, F.lit(settings.dns_days))
+    return answers.select("host", "resolver_key", F.struct(*DNS_FIELDS).alias("dns")), C.stamped(live, now, F.lit(settings.dns_days))
 
 
 GEO_FIELDS = ["country_code", "region_code", "region_name", "status"]
 
 
-def geo_answers(hosts: DataFrame, lookups: Lookups, settings: Settings, now: Column, keep: Keep) -> tuple[DataFrame, DataFrame]:
-    """(ip and its answer; rows for the geo cache) of the distinct addresses of ``resolved_ips``.  Only usable answers are cached."""
-    keys = L.unique_keys(hosts, "resolved_ips").withColumn("provider", F.lit(settings.geo_provider))
+def geo_answers(hosts: DataFrame, lookups: Lookups, now: Column, keep: Keep) -> tuple[DataFrame, DataFrame]:
+    """(provider, ip and its answer; rows for the geo cache) of the distinct addresses of (resolved_ips, provider, geo_days).
+
+    Only usable answers are cached, for the shortest time that a source which asked allows.
+    """
+    keys = keep(hosts.select("provider", "geo_days", F.explode("resolved_ips").alias("ip")).groupBy("provider", "ip").agg(F.min("geo_days").alias("geo_days")), "geo-keys")
     # A cached row has no status of its own.
     layers = [None if c is None else c.withColumn("status", F.lit("cache_hit")) for c in lookups.geo_cache]
     answers, live = L.looked_up(
         keys, ["provider", "ip"], now, lambda df: lookups.geo(df).select("provider", "ip", *GEO_FIELDS), *layers, lambda df: keep(df, "geo")
     )
-    return answers.select("ip", *GEO_FIELDS), C.stamped(live.filter(F.col("status") == "ok").drop("status"), now, F.lit(settings.geo_days))
-
-
-def decided(rows: DataFrame, policies: Mapping[str, G.Policy]) -> DataFrame:
-    """``with_geo`` under each row's own source's policy; sources without one share the default."""
-    fallback, out = G.Policy(enabled=False), None
-    groups: dict[str, tuple[G.Policy, list[str]]] = {}
-    for source, policy in policies.items():
-        groups.setdefault(repr(policy), (policy, []))[1].append(source)
-    named = [s for _, sources in groups.values() for s in sources]
-    parts = [(p, F.col("source_id").isin(sources)) for p, sources in groups.values()]
-    if len(parts) == 1 and not rows.filter(~parts[0][1]).limit(1).count():
-        return R.with_geo(rows, parts[0][0])
-    parts.append((fallback, ~F.col("source_id").isin(named) if named else F.lit(True)))
-    for policy, own in parts:
-        made = R.with_geo(rows.filter(own), policy)
-        out = made if out is None else out.unionByName(made)
-    return out
+    writes = C.stamped(live.filter(F.col("status") == "ok").drop("status").join(keys, ["provider", "ip"]), now, F.col("geo_days")).drop("geo_days")
+    return answers.select("provider", "ip", *GEO_FIELDS), writes
 
 
 def screened(
@@ -178,19 +245,21 @@ def screened(
     """(terminal rows of prepared entries, new rows of the caches ``root``, ``dns`` and ``geo``).
 
     ``keep`` writes a table and reads it again; live answers pass through it, so that no
-    provider is asked twice, and so does what one stage leaves for the next.
+    provider is asked twice, and so does what one stage leaves for the next.  Resolver, geo
+    provider, policy and geo lifetime are each row's own.
     """
-    off = lambda names: ~F.col("source_id").isin(list(names)) if names else F.lit(True)
-    rows = entries.withColumns({"dns_enabled": off(settings.without_dns), "geo_enabled": off(settings.without_geo)})
+    rows = with_settings(entries, settings).withColumns({"dns_enabled": F.col("cfg.dns_enabled"), "geo_enabled": F.col("cfg.geo_enabled")})
     roots = rows.filter(~F.col("is_public_suffix_input")).select("registrable_domain").distinct()
     rdap, root_rows = registry_answers(roots, plan, lookups, settings, now, keep)
     rows = keep(R.before_dns(rows.join(rdap.drop("rdap_source"), "registrable_domain", "left")), "after-rdap")
-    dns, dns_rows = dns_answers(rows.filter("early_class IS NULL").select("host"), lookups, settings, now, keep)
-    rows = keep(R.classified(rows.join(dns, "host", "left"), list(settings.hold), list(settings.deletion)), "after-dns")
-    asked = rows.filter("geo_reason IS NULL").select("host", "resolved_ips")
-    geo, geo_rows = geo_answers(asked, lookups, settings, now, keep)
-    rows = rows.join(L.rejoined(asked, geo, "host", "resolved_ips"), "host", "left")
-    return R.terminal_rows(decided(rows, settings.policies), settings.geo_provider), {"root": root_rows, "dns": dns_rows, "geo": geo_rows}
+    asked = rows.filter("early_class IS NULL").select("host", F.col("cfg.resolver_key").alias("resolver_key"))
+    dns, dns_rows = dns_answers(asked, lookups, settings, now, keep)
+    rows = rows.withColumn("resolver_key", F.col("cfg.resolver_key")).join(dns, ["host", "resolver_key"], "left").drop("resolver_key")
+    rows = keep(R.classified(rows, list(settings.hold), list(settings.deletion)), "after-dns")
+    asked = rows.filter("geo_reason IS NULL").select("host", "resolved_ips", F.col("cfg.geo_provider").alias("provider"), F.col("cfg.geo_days").alias("geo_days"))
+    geo, geo_rows = geo_answers(asked, lookups, now, keep)
+    rows = rows.join(L.rejoined(asked.drop("geo_days"), geo, "host", "resolved_ips", also=("provider",)), "host", "left")
+    return R.terminal_rows(R.with_geo(rows, F.col("cfg.policy")), F.col("cfg.geo_provider")), {"root": root_rows, "dns": dns_rows, "geo": geo_rows}
 
 
 def screened_within(entries: DataFrame, seconds: float, parts: int, screen: Callable[[DataFrame, int], None], clock: Callable[[], float] = time.monotonic) -> bool:

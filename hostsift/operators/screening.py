@@ -53,8 +53,8 @@ def classified(rows: DataFrame, hold: list[str] = (), deletion: list[str] = ())
     return out.withColumn("geo_reason", why)
 
 
-def with_geo(rows: DataFrame, policy: G.Policy) -> DataFrame:
-    """Adds geo and policy columns; ``results`` is the array of per-address answers in the order of resolved_ips."""
+def with_geo(rows: DataFrame, policy: G.Policy | Column) -> DataFrame:
+    """Adds geo and policy columns; ``policy`` is one for all or a column; ``results`` is the array of per-address answers in the order of resolved_ips."""
     made = G.decision(policy, F.col("results"))
     ended = F.col("geo_reason").isNotNull()
     none = F.array().cast("array<string>")
@@ -67,7 +67,7 @@ def with_geo(rows: DataFrame, policy: G.Policy) -> DataFrame:
     return out.drop("geo_reason").select("*", "__g.*").drop("__g")
 
 
-def terminal_rows(rows: DataFrame, geo_provider: str = "") -> DataFrame:
+def terminal_rows(rows: DataFrame, geo_provider: str | Column = "") -> DataFrame:
     """Audit rows: identity, class, statuses, sorted geo sets, route."""
     results = F.coalesce(F.col("results"), F.array().cast(rows.schema["results"].dataType))
     asked = (F.col("geo_status") == "review") | F.col("geo_policy_status").isin("accepted", "rejected") | (F.col("geo_reason") == "lookup_succeeded")

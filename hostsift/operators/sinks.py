@@ -17,13 +17,19 @@ from pyspark.sql import functions as F
 
 from ..functions import verdicts as D
 from .batch import ensure_unique
-from .cache import upsert
+from .places import Keep, with_places
 
 
 def host_list(rows: DataFrame, route: str) -> DataFrame:
     return ensure_unique(rows.filter(F.col("route") == route).select("host"), ["host"], f"{route} host").orderBy("host")
 
 
+def numbered_hosts(rows: DataFrame, route: str, keep: Keep) -> DataFrame:
+    """host and its place, from 0, in the route's sorted list.  The sort runs once, and equal hosts would be neighbours in it."""
+    placed = with_places(rows.filter(F.col("route") == route).select("host"), ["host"], keep, f"{route}-hosts")
+    return ensure_unique(placed, ["host"], f"{route} host")
+
+
 def audit_lines(rows: DataFrame, sort_keys: bool = False) -> DataFrame:
     """JSON of every terminal row, by host and then row text; equal rows are an error.  Merged audits have their keys in name order."""
     columns = sorted(rows.columns) if sort_keys else rows.columns
@@ -142,12 +148,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(json.loads(text)["version"]) if text else None
 
 
-def write_caches(spark: SparkSession, paths: dict[str, str], new: dict[str, DataFrame]) -> None:
-    """New rows of each cache in place of the old ones of their key."""
+def write_caches(spark: SparkSession, paths: dict[str, str], new: dict[str, DataFrame]) -> dict[str, dict]:
+    """New rows of each cache in place of the old ones of their key; only the buckets of these keys are rewritten.  Returns the commits."""
+    from . import buckets
+
     keys = {"root": ["domain"], "dns": ["host", "resolver_key"], "geo": ["provider", "ip"]}
-    for name, rows in new.items():
-        old = read_table(spark, paths[name])
-        replace_table(rows if old is None else upsert(old, rows, keys[name]), paths[name])
+    return {name: buckets.write(rows, paths[name], keys[name]) for name, rows in new.items()}
 
 
 def merged_review(parts: list[DataFrame]) -> DataFrame | None:

@@ -20,6 +20,7 @@ from ..operators import run as R
 from ..operators import screening as Z
 from ..operators import sinks as K
 from ..operators import suffixes as S
+from ..operators.scratch import kept
 from .catalog import _t, query
 
 #: Rules of the queries, in the list's own words; SQL reads the same.
@@ -280,7 +281,7 @@ def _root_cache(spark, sf, condition: str) -> DataFrame:
     k = F.col("c_custkey")
     klass = F.element_at(F.array(*[F.lit(c) for c in ("rdap_registrable_domain_registered", "rdap_registrable_domain_unregistered", "rdap_lookup_unavailable")]), (k % 3 + 1).cast("int"))
     rows = _roots(spark, sf).filter(condition).select(
-        "registrable_domain", klass.alias("classification"), F.array(F.lit("cached")).alias("statuses"), (k % 4 != 0).alias("statuses_complete"),
+        F.col("registrable_domain").alias("domain"), klass.alias("classification"), F.array(F.lit("cached")).alias("statuses"), (k % 4 != 0).alias("statuses_complete"),
         F.lit("2024-02-20 00:00:00").cast("timestamp").alias("checked_at"), F.when(k % 13 == 0, "2024-02-29 00:00:00").otherwise("2024-03-09 00:00:00").cast("timestamp").alias("expires_at"),
     )
     return rows
@@ -350,8 +351,9 @@ def _screened(spark, sf):
     answered = F.when(F.col("ip") == "2001:db8::1", F.lit("DE")).otherwise(F.lit("CN"))
     geo = lambda keys: keys.select("provider", "ip", answered.alias("country_code"), F.lit("").alias("region_code"), F.lit("").alias("region_name"), F.when(F.col("ip").endswith("7"), "timeout").otherwise("ok").alias("status"))
     lookups = _lookups(spark, sf, dns=L.fixture(flags, ["host", "resolver_key"]), geo=geo)
-    settings = R.Settings(policies={"all": G.Policy(True, "any_ip", G.Rules(["CN"])), "nogeo": G.Policy(False)}, without_dns=frozenset({"nodns"}), without_geo=frozenset({"nogeo"}))
-    return R.screened(entries, lookups, settings, _now(), _plan(spark, sf))
+    policy = G.Policy(True, "any_ip", G.Rules(["CN"]))
+    settings = R.Settings({"all": R.SourceSettings(policy=policy), "nogeo": R.SourceSettings(geo_enabled=False), "nodns": R.SourceSettings(dns_enabled=False)})
+    return R.screened(entries, lookups, settings, _now(), _plan(spark, sf), kept(spark, "run"))
 
 
 _SCREEN_SQL = f"""
@@ -401,10 +403,8 @@ def run_geo_writes(spark, sf):
     WHERE classification IN ('manual_filter_passed', 'manual_add_registered', 'rdap_registrable_domain_registered_dns_disabled', 'dns_resolves')
 """)
 def filtered_list(spark, sf):
-    from pyspark.sql import Window
-
-    rows = K.host_list(_screened(spark, sf)[0], "filtered")
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("long"))
+    rows = K.numbered_hosts(_screened(spark, sf)[0], "filtered", kept(spark, "list"))
+    return rows.select("host", (F.col("place") + 1).alias("place"))
 
 
 @query("""SELECT '{"host":"' || n_name || '","n":' || n_nationkey || ',"note":null}' AS value FROM nation""")

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from ..functions.geo import Policy, Rules
+from ..operators.run import Settings, SourceSettings
 
 # The documented defaults, allowed words and public resolvers.
 DEFAULTS: dict[str, Any] = {
@@ -125,6 +126,13 @@ class Source:
     def rdap_profile(self) -> str:
         return json.dumps(self.settings["rdap"], sort_keys=True)
 
+    def run_settings(self) -> SourceSettings:
+        geo = self.settings["geo"]
+        return SourceSettings(
+            self.settings["dns"]["enabled"], geo["enabled"], self.resolver_key(), geo_provider(geo), geo["cache_ttl_days"],
+            self.policy() if geo["enabled"] else Policy(enabled=False), self.execution_profile(), self.rdap_profile(),
+        )
+
 
 def resolvers(dns: dict) -> list[str]:
     """The resolvers that will be asked; with a client subnet all must support it."""
@@ -172,6 +180,16 @@ def parse_config(raw: dict) -> tuple[list[Source], dict]:
     return sources, nested(CACHE_DEFAULTS, raw.get("cache") or {})
 
 
+def run_settings(sources: list[Source], cache: dict) -> Settings:
+    """Settings of a run over the enabled sources; rows that no source has take those of the first."""
+    on = {s.id: s.run_settings() for s in sources if s.enabled}
+    days = cache["classification_ttl_days"]
+    return Settings(
+        on, next(iter(on.values()), SourceSettings()), registered_days=days["rdap_registrable_domain_registered"], unregistered_days=days["rdap_registrable_domain_unregistered"],
+        unavailable_days=days["rdap_lookup_unavailable"], dns_days=cache["dns_ttl_days"],
+    )
+
+
 def load_config(path: str) -> tuple[list[Source], dict]:
     import yaml
 

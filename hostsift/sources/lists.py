@@ -6,7 +6,10 @@ import re
 import urllib.request
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,19 +20,49 @@ LINES_SCHEMA = "source_id string, source_index int, source_input_label string, l
 BREAKS = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]"
 
 
+def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of text blocks as lines with their places in the block; a task reads a block's rows in order, one block after another."""
+    block, place = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pieces = pc.split_pattern_regex(pc.replace_substring_regex(batch["value"], r"\r\z", ""), BREAKS)
+        sizes = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+        keys = list(zip(batch["file_path"].to_pylist(), batch["file_block_start"].to_pylist(), strict=True))
+        changes = [k for k, key in enumerate(keys) if k == 0 or key != keys[k - 1]]
+        places = []
+        for at, end in zip(changes, [*changes[1:], len(keys)], strict=True):
+            if keys[at] != block:
+                block, place = keys[at], 0
+            n = int(sizes[at:end].sum())
+            places.append(np.arange(place, place + n))
+            place += n
+        of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+        yield pa.RecordBatch.from_arrays([batch["file_path"].take(of), batch["file_block_start"].take(of), pa.array(np.concatenate(places)), pieces.flatten()], ["path", "start", "at", "raw_line"])
+
+
 def text_lines(spark: SparkSession, paths: list[str], source_id: str, index: int = 0, label: str = "") -> DataFrame:
-    """Lines of one source's files, numbered through all files in path order.
+    """Lines of one source's files, numbered through all files in path order, as Python's splitlines breaks them.
 
-    Files are split where they stand; only a row a file (path and count) is numbered in order.
+    Spark cuts files into blocks at line feeds, so a file of any size is several tasks; a row
+    is then cut at the other breaks where it stands.  A table of one row a block says how
+    many lines are before it.  Whether a file ends in a line feed is told by its length: if
+    not, nothing stands behind another break at its end.
     """
-    files = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    lines = files.select("path", F.posexplode(F.split("value", BREAKS)).alias("at", "raw_line"), F.size(F.split("value", BREAKS)).alias("n"))
-    # A text that ends with a break has no line behind it.
-    lines = lines.filter(~((F.col("at") == F.col("n") - 1) & (F.col("raw_line") == "")))
-    counts = lines.groupBy("path").agg((F.max("at") + 1).alias("n"))
-    so_far = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("path", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("before"))
-    return lines.drop("n").join(before, "path").select(
+    meta = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start", "file_size")]
+    rows = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(paths).select("value", *meta)
+    pieces = F.split(F.regexp_replace("value", r"\r\z", ""), BREAKS, -1)
+    counted = rows.select("*", F.size(pieces).alias("n"), F.element_at(pieces, -1).alias("tail"), F.monotonically_increasing_id().alias("id"))
+    blocks = counted.groupBy("file_path", "file_block_start").agg(
+        F.sum("n").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.first("file_size").alias("size"), F.max_by(F.struct("n", "tail"), "id").alias("last")
+    )
+    whole, so_far = Window.partitionBy("file_path"), Window.orderBy("file_path", "file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    ends_file = F.col("file_block_start") == F.max("file_block_start").over(whole)
+    loose = ends_file & (F.sum("bytes").over(whole) > F.col("size")) & (F.col("last.n") > 1) & (F.col("last.tail") == "")
+    blocks = blocks.withColumn("lines", F.col("lines") - F.when(loose, 1).otherwise(0))
+    blocks = blocks.select(F.col("file_path").alias("path"), F.col("file_block_start").alias("start"), "lines", F.coalesce(F.sum("lines").over(so_far), F.lit(0)).alias("before"))
+    cut = rows.select("value", "file_path", "file_block_start").mapInArrow(_cut_rows, "path string, start long, at long, raw_line string")
+    return cut.join(blocks, ["path", "start"]).filter("at < lines").select(
         F.lit(source_id).alias("source_id"), F.lit(index).alias("source_index"), F.lit(label or source_id).alias("source_input_label"),
         (F.col("before") + F.col("at")).cast("int").alias("line_index"), "raw_line",
     )
