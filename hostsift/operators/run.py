@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo as G
@@ -21,6 +21,7 @@ from . import cache as C
 from . import lookup as L
 from . import prepare as P
 from . import screening as R
+from .sinks import read_text, switch_pointer
 from .suffixes import with_server
 
 Layers = tuple[DataFrame | None, DataFrame | None]
@@ -273,3 +274,31 @@ def screened_within(entries: DataFrame, seconds: float, parts: int, screen: Call
             return False
         screen(entries.filter(F.pmod(F.xxhash64("registrable_domain"), F.lit(parts)) == k), k)
     return True
+
+
+def screened_in_parts(
+    spark: SparkSession, folder: str, entries: DataFrame, parts: int, screen: Callable[[DataFrame, int], DataFrame], seconds: float = float("inf"),
+    clock: Callable[[], float] = time.monotonic,
+) -> tuple[DataFrame | None, list[int]]:
+    """(rows of the parts that are done, parts that are left), resumable: a part's rows are in ``folder`` and a small file says that they are whole.
+
+    Parts are dealt by root, so hosts of a root share its answer.  A run that is started
+    again on the folder leaves done parts as they are; a part that was cut off is made again.
+    The entries and ``parts`` must be those of the first start, which are kept beside them.
+    """
+    frozen = f"{folder}/entries"
+    if read_text(spark, f"{folder}/entries.json") is None:
+        entries.withColumn("__part", F.pmod(F.xxhash64("registrable_domain"), F.lit(parts)).cast("int")).write.mode("overwrite").parquet(frozen)
+        switch_pointer(spark, f"{folder}/entries.json", json.dumps({"parts": parts}))
+    if json.loads(read_text(spark, f"{folder}/entries.json"))["parts"] != parts:
+        raise ValueError(f"{folder} was begun with another number of parts")
+    began, held = clock(), spark.read.parquet(frozen)
+    mark = lambda k: f"{folder}/done/{k}.json"
+    left = [k for k in range(parts) if read_text(spark, mark(k)) is None]
+    while left and clock() - began < seconds:
+        k = left[0]
+        screen(held.filter(F.col("__part") == k).drop("__part"), k).write.mode("overwrite").parquet(f"{folder}/rows/{k}")
+        switch_pointer(spark, mark(k), json.dumps({"part": k}))
+        left = left[1:]
+    done = [f"{folder}/rows/{k}" for k in range(parts) if k not in left]
+    return (spark.read.parquet(*done) if done else None), left

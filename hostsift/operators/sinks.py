@@ -43,6 +43,15 @@ def review_table(rows: DataFrame) -> DataFrame:
     return ensure_unique(made, made.columns, "review row").orderBy(name, "host")
 
 
+def review_file(rows: DataFrame, path: str, append: bool = True) -> int:
+    """Review rows as one CSV file, behind what it holds already; returns how many were written."""
+    from .csvfile import write_csv_file
+
+    made = rows.filter("route = 'review'").select(*D.review_columns(rows.columns))
+    name = F.when(F.col("input_name") != "", F.col("input_name")).otherwise(F.col("host"))
+    return write_csv_file(made, path, [name, "host"], append)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -17,6 +17,7 @@ from ..operators import cache as C
 from ..operators import lookup as L
 from ..operators import run as R
 from ..operators import sinks as K
+from ..operators.csvfile import write_csv_file
 from ..operators.scratch import kept, shared_folder
 from ..sources import lists
 from .catalog import _t, query
@@ -251,3 +252,43 @@ def scanned_lines(spark, sf):
     row = F.when(k % 9 == 0, F.concat(F.lit("v"), k.cast("string"), F.lit("\x0bw"))).when(k % 9 == 1, F.concat(F.lit("\rx"), k.cast("string"), F.lit("\r"))).otherwise(F.concat(F.lit("l"), k.cast("string")))
     _t(spark, sf, "customer").repartitionByRange(3, "c_custkey").sortWithinPartitions("c_custkey").select(row.alias("value")).write.text(folder)
     return lists.text_lines(spark, lists.matching_paths(spark, f"{folder}/part-*"), "s").select("line_index", "raw_line")
+
+
+_NOTE_SQL = "CASE c_custkey % 4 WHEN 0 THEN 'says \"' || c_name || '\"' WHEN 1 THEN 'a,b' WHEN 2 THEN NULL ELSE 'two' || chr(10) || 'lines' END"
+
+
+@query(f"""
+    WITH r AS (SELECT 'h' || c_custkey AS host, {_NOTE_SQL} AS note FROM customer),
+    l AS (SELECT host, host || ',' || CASE WHEN note IS NULL THEN '' WHEN regexp_matches(note, '[",\r\n]') THEN '"' || replace(note, '"', '""') || '"' ELSE note END || chr(13) || chr(10) AS line FROM r),
+    t AS (SELECT 'host,note' || chr(13) || chr(10) || string_agg(line, '' ORDER BY host) || (SELECT string_agg(line, '' ORDER BY host) FROM l WHERE host LIKE 'h1%') AS text FROM l)
+    SELECT strlen(text)::BIGINT AS bytes, sha256(text) AS sha256 FROM t
+""")
+def review_bytes(spark, sf):
+    """Length and digest of one CSV file: all rows, and then some of them appended."""
+    k = F.col("c_custkey")
+    note = F.when(k % 4 == 0, F.concat(F.lit('says "'), "c_name", F.lit('"'))).when(k % 4 == 1, "a,b").when(k % 4 == 3, "two\nlines")
+    rows = _t(spark, sf, "customer").select(F.concat(F.lit("h"), k.cast("string")).alias("host"), note.alias("note"))
+    path = _folder(spark, "review") + ".csv"
+    write_csv_file(rows, path, ["host"])
+    write_csv_file(rows.filter("host LIKE 'h1%'"), path, ["host"], append=True)
+    content = spark.read.format("binaryFile").load(path)
+    return content.select(F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+@query(f"""
+    WITH {_BY_SOURCE_SQL} SELECT 'h' || k || '.com' AS host, classification, false AS asked_again FROM c
+""")
+def run_resumed(spark, sf):
+    """Classes of a run that stops for want of time and is started again: parts that were done are not screened twice."""
+    keep = kept(spark, "resumed")
+    folder, screened = _folder(spark, "parts"), []
+    clock = iter([0.0, 1.0, 2.0, 9.0]).__next__
+
+    def screen(part: DataFrame, k: int) -> DataFrame:
+        screened.append(k)
+        rows, _ = R.screened(part, _first_lookups(spark, keep), _SETTINGS, F.to_timestamp(F.lit("2024-03-01 00:00:00")), keep=keep)
+        return rows.withColumn("asked_again", F.lit(screened.count(k) > 1)).select("host", "classification", "asked_again")
+
+    R.screened_in_parts(spark, folder, _entries(spark, sf), 3, screen, 5.0, clock)
+    rows, _ = R.screened_in_parts(spark, folder, _entries(spark, sf), 3, screen)
+    return rows

@@ -1,21 +1,24 @@
 """Bucketed tables and their writers, concurrent and bulk requests, conflicts of settings, list files in blocks."""
 
 import random
+import sqlite3
 import threading
 import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, StringContains
 
 from hostsift.functions import geo as G
 from hostsift.operators import buckets as U
+from hostsift.operators import csvfile
 from hostsift.operators import lookup as L
 from hostsift.operators import places
 from hostsift.operators import prepare as P
 from hostsift.operators import run as R
 from hostsift.operators import scratch
 from hostsift.operators.suffixes import public_suffix_rules
-from hostsift.sources import lists
+from hostsift.sources import lists, tables
 
 ROW = "k string, v long"
 
@@ -224,3 +227,83 @@ def test_places_with_equal_rows(spark):
     keep = scratch.kept(spark, "places")
     got = places.with_places(spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "h string"), ["h"], keep)
     assert sorted((r["place"], r["h"]) for r in got.collect()) == [(0, None), (1, "a"), (2, "b"), (3, "b")]
+
+
+# --- one CSV file
+
+
+def test_csv_file_equals_the_csv_module(spark, tmp_path):
+    import csv
+    import io
+
+    rows = [("b", 'q"uote'), ("a", "x,y"), ("é", None), ("c", "two\r\nlines"), ("d", " pad "), ("e", "")]
+    df = spark.createDataFrame(rows, "host string, note string").repartition(3)
+
+    def want(*groups):
+        out = io.StringIO(newline="")
+        writer = csv.writer(out)
+        writer.writerow(["host", "note"])
+        for group in groups:
+            writer.writerows(sorted(group, key=lambda r: r[0]))
+        return out.getvalue().encode()
+
+    path = f"{tmp_path}/out/review.csv"
+    assert csvfile.write_csv_file(df.limit(0), path, ["host"], append=True) == 0 and not (tmp_path / "out" / "review.csv").exists()
+    csvfile.write_csv_file(df, path, ["host"], append=True)
+    assert (tmp_path / "out" / "review.csv").read_bytes() == want(rows)
+    assert csvfile.write_csv_file(df.filter("host < 'c'"), path, ["host"], append=True) == 2
+    assert (tmp_path / "out" / "review.csv").read_bytes() == want(rows, rows[:2])
+    failing = df.withColumn("note", F.when(F.col("host") == "c", F.raise_error(F.lit("no"))).otherwise(F.col("note")))
+    with pytest.raises(Exception, match="no"):
+        csvfile.write_csv_file(failing, path, ["host"])
+    assert (tmp_path / "out" / "review.csv").read_bytes() == want(rows, rows[:2]) and [p.name for p in (tmp_path / "out").iterdir() if "." in p.name and not p.name.startswith(".")] == ["review.csv"]
+    csvfile.write_csv_file(df, path, ["host"])
+    assert (tmp_path / "out" / "review.csv").read_bytes() == want(rows)
+    one = spark.createDataFrame([("",), ("z",)], "only string")
+    csvfile.write_csv_file(one, f"{tmp_path}/one.csv", ["only"])
+    assert (tmp_path / "one.csv").read_bytes() == b'only\r\n""\r\nz\r\n'
+
+
+# --- SQLite
+
+
+def test_sqlite_filters_and_ranges(spark, tmp_path):
+    path = f"{tmp_path}/c.sqlite3"
+    with sqlite3.connect(path) as c:
+        c.execute("CREATE TABLE geo_history (provider TEXT, ip TEXT, country_code TEXT, region_code TEXT, region_name TEXT, checked_at TEXT, expires_at TEXT, PRIMARY KEY (provider, ip)) WITHOUT ROWID")
+        c.executemany("INSERT INTO geo_history VALUES (?, ?, 'CN', '', '', 'x', 'y')", [(f"p{k % 7}", str(k)) for k in range(500)])
+    whole = tables.sqlite_table(spark, path, "geo_history", partitions=4)
+    assert whole.count() == 500 and whole.select(F.spark_partition_id()).distinct().count() > 1
+    assert whole.filter("provider = 'p3' AND ip IN ('3', '10', '17')").count() == 3
+    assert tables.cached_row(spark, path, "geo_history", {"provider": "p3", "ip": "10"}).first()["ip"] == "10"
+    reader = tables.SqliteReader(whole.schema, {"path": path, "table": "geo_history", "partitions": "4"})
+    odd = StringContains(("ip",), "1")
+    assert list(reader.pushFilters([EqualTo(("provider",), "p3"), EqualTo(("ip",), "10"), odd])) == [odd]
+    read = [row for part in reader.partitions() for row in reader.read(part)]
+    assert len(read) == 1  # nothing but the row of the key leaves SQLite
+    ordered = [r["domain"] for r in tables.ordered_roots(spark.createDataFrame([("b",), ("a",)], "domain string")).collect()]
+    assert ordered == ["a", "b"]
+
+
+# --- a run in parts
+
+
+def test_parts_go_on_where_they_stopped(spark, tmp_path):
+    entries = spark.createDataFrame([(f"r{k}.com",) for k in range(40)], "registrable_domain string")
+    made = []
+
+    def screen(part, k):
+        made.append(k)
+        if k == 2 and made.count(2) == 1:
+            raise RuntimeError("lost")
+        return part.withColumn("part", F.lit(k))
+
+    folder, clock = f"{tmp_path}/run", iter([0, 0, 9]).__next__
+    rows, left = R.screened_in_parts(spark, folder, entries, 4, screen, 5, clock)
+    assert left == [1, 2, 3] and {r["part"] for r in rows.collect()} == {0}
+    with pytest.raises(RuntimeError):
+        R.screened_in_parts(spark, folder, entries, 4, screen)
+    rows, left = R.screened_in_parts(spark, folder, entries.limit(0), 4, screen)  # the entries of the first start hold
+    assert left == [] and made == [0, 1, 2, 2, 3] and rows.count() == rows.select("registrable_domain").distinct().count() == 40
+    with pytest.raises(ValueError):
+        R.screened_in_parts(spark, folder, entries, 5, screen)
