@@ -24,6 +24,16 @@ from hostsift.llm.queries import word_tokenizer
 from hostsift.llm.secret_scan import redact_secrets
 
 
+def settled(spark: SparkSession) -> None:
+    """Executors give back the heap that the stage before has grown, so that a stage's Python workers find room beside it.
+
+    A JVM keeps such heap until it collects its garbage as a whole; tasks of a tiny job ask
+    for that, two a core, so that each executor gets some.
+    """
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).select(F.expr("java_method('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.3 or more)."""
     return quality_filter(docs, table(spark, sf_dir, "labels"))
@@ -31,6 +41,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: the one with the smallest id, or any one where the group has no id or repeats it."""
+    settled(spark)
     return without_copies(docs)
 
 
@@ -39,6 +50,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows that share an id stay or go together; rows without one cannot be told apart and stay.
     """
+    settled(spark)
     groups = jaccard_components(docs, width=5, percent=80)
     gone = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
@@ -48,12 +60,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each reported secret replaced by a mark; n_chars follows the text."""
+    settled(spark)
     masked = redact_secrets(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences of 4096."""
+    settled(spark)
     return pack_documents(docs, word_tokenizer())
 
 
