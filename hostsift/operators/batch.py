@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -77,6 +77,20 @@ def ensure_unique(rows: DataFrame, on: list[str], what: str) -> DataFrame:
     return rows
 
 
+def ensure_all_unique(rows: DataFrame, keys: dict[str, Column]) -> None:
+    """An error naming one repeated key of any kind; a null key is none.
+
+    All kinds are told by one shuffle of 64-bit hashes; only rows whose hash repeats are
+    compared as they are.
+    """
+    tags = [F.when(key.isNotNull(), F.struct(F.lit(what).alias("what"), F.xxhash64(key).alias("hash"))) for what, key in keys.items()]
+    found = rows.select(F.explode(F.array(*tags)).alias("t")).filter("t IS NOT NULL").groupBy("t.what", "t.hash").agg(F.count("*").alias("n")).filter("n > 1")
+    for what in [r["what"] for r in found.select("what").distinct().collect()]:
+        suspects = found.filter(F.col("what") == what).select(F.col("hash").alias("__h"))
+        own = rows.select(keys[what].alias("key")).filter("key IS NOT NULL").withColumn("__h", F.xxhash64("key"))
+        ensure_unique(own.join(suspects, "__h", "left_semi"), ["key"], what)
+
+
 def merged(shards: list[DataFrame], on: list[str], what: str) -> DataFrame:
     """Union of the workers' rows; a row that two workers hold is an error."""
     out = shards[0]

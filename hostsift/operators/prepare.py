@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vocab as V
+from .places import Keep, with_places
 from .suffixes import with_public_suffix
 
 
@@ -150,6 +151,11 @@ def in_source_order(entries: DataFrame) -> DataFrame:
     return entries.orderBy("source_index", "source_id", "line_index", "host")
 
 
+def with_source_places(entries: DataFrame, keep: Keep) -> DataFrame:
+    """Adds each entry's place, from 0, in the order of ``in_source_order``."""
+    return with_places(entries, ["source_index", "source_id", "line_index", "host"], keep, "entries")
+
+
 def checked(problems: list[str]) -> None:
     if problems:
         raise PreparationError(reduce(lambda a, b: f"{a}; {b}", problems))

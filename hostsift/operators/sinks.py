@@ -12,16 +12,18 @@ import time
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import verdicts as D
-from .batch import ensure_unique
+from .batch import ensure_all_unique, ensure_unique
 from .places import Keep, with_places
 
 
-def host_list(rows: DataFrame, route: str) -> DataFrame:
-    return ensure_unique(rows.filter(F.col("route") == route).select("host"), ["host"], f"{route} host").orderBy("host")
+def host_list(rows: DataFrame, route: str, checked: bool = False) -> DataFrame:
+    """Hosts of a route in order; a host twice is an error, unless that was ``checked`` before."""
+    hosts = rows.filter(F.col("route") == route).select("host")
+    return (hosts if checked else ensure_unique(hosts, ["host"], f"{route} host")).orderBy("host")
 
 
 def numbered_hosts(rows: DataFrame, route: str, keep: Keep) -> DataFrame:
@@ -30,17 +32,29 @@ def numbered_hosts(rows: DataFrame, route: str, keep: Keep) -> DataFrame:
     return ensure_unique(placed, ["host"], f"{route} host")
 
 
-def audit_lines(rows: DataFrame, sort_keys: bool = False) -> DataFrame:
+def _audit(rows: DataFrame, sort_keys: bool = False) -> Column:
+    return F.to_json(F.struct(*(sorted(rows.columns) if sort_keys else rows.columns)), {"ignoreNullFields": "false"})
+
+
+def audit_lines(rows: DataFrame, sort_keys: bool = False, checked: bool = False) -> DataFrame:
     """JSON of every terminal row, by host and then row text; equal rows are an error.  Merged audits have their keys in name order."""
-    columns = sorted(rows.columns) if sort_keys else rows.columns
-    lines = rows.select("host", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
-    return ensure_unique(lines, ["value"], "audit row").orderBy("host", "value").select("value")
+    lines = rows.select("host", _audit(rows, sort_keys).alias("value"))
+    return (lines if checked else ensure_unique(lines, ["value"], "audit row")).orderBy("host", "value").select("value")
 
 
-def review_table(rows: DataFrame) -> DataFrame:
+def review_table(rows: DataFrame, checked: bool = False) -> DataFrame:
     made = rows.filter("route = 'review'").select(*D.review_columns(rows.columns))
     name = F.when(F.col("input_name") != "", F.col("input_name")).otherwise(F.col("host"))
-    return ensure_unique(made, made.columns, "review row").orderBy(name, "host")
+    return (made if checked else ensure_unique(made, made.columns, "review row")).orderBy(name, "host")
+
+
+def ensure_terminal(rows: DataFrame) -> None:
+    """Hosts of each list, audit rows and review rows must each differ; one pass decides all."""
+    on = lambda route, key: F.when(F.col("route") == route, key)
+    ensure_all_unique(rows, {
+        "filtered host": on("filtered", F.col("host")), "dead host": on("dead", F.col("host")), "audit row": _audit(rows),
+        "review row": on("review", F.to_json(F.struct(*D.review_columns(rows.columns)))),
+    })
 
 
 def review_file(rows: DataFrame, path: str, append: bool = True) -> int:
@@ -109,12 +123,13 @@ def publish(rows: DataFrame, folder: str, config: str, complete: bool = True, sn
     rows = rows.persist(StorageLevel.DISK_ONLY)
     try:
         counts = {r["route"]: r["n"] for r in rows.groupBy("route").agg(F.count("*").alias("n")).collect()}
-        host_list(rows, "filtered").write.text(f"{version}/filtered")
+        ensure_terminal(rows)
+        host_list(rows, "filtered", checked=True).write.text(f"{version}/filtered")
         if counts.get("dead"):
-            host_list(rows, "dead").write.text(f"{version}/dead")
+            host_list(rows, "dead", checked=True).write.text(f"{version}/dead")
         if counts.get("review"):
-            review_table(rows).write.csv(f"{version}/review", header=True, quote='"', escape='"', lineSep="\n")
-        audit_lines(rows).write.text(f"{version}/audit")
+            review_table(rows, checked=True).write.csv(f"{version}/review", header=True, quote='"', escape='"', lineSep="\n")
+        audit_lines(rows, checked=True).write.text(f"{version}/audit")
     finally:
         rows.unpersist()
     names = ["filtered", "audit", *(n for n in ("dead", "review") if counts.get(n))]

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo as G
+from ..operators import batch as B
 from ..operators import buckets as U
 from ..operators import cache as C
 from ..operators import lookup as L
+from ..operators import prepare as P
 from ..operators import run as R
 from ..operators import sinks as K
 from ..operators.csvfile import write_csv_file
@@ -254,6 +256,52 @@ def scanned_lines(spark, sf):
     return lists.text_lines(spark, lists.matching_paths(spark, f"{folder}/part-*"), "s").select("line_index", "raw_line")
 
 
+@query(f"""
+    WITH {_BY_SOURCE_SQL},
+    g AS (SELECT *, CASE WHEN geo_provider = '' THEN NULL WHEN s = 0 THEN (r1 = 1 OR NOT ok1) AND (r2 = 1 OR NOT ok2) WHEN s = 1 THEN (ok1 AND r1 = 1) OR (ok2 AND r2 = 1) END AS fine,
+                 k % 10 = 3 AS dead FROM c),
+    t AS (SELECT *, list_sort(list_distinct(list_filter([CASE WHEN ok1 THEN r1 END, CASE WHEN ok2 THEN r2 END], lambda x: x IS NOT NULL))) AS seen FROM g)
+    SELECT host, coalesce(CASE WHEN s < 3 THEN 's' || s END, '') AS source_id, 'list' AS source_input_label, 's' AS source_ids, 'list' AS source_input_labels, host AS input_name, host AS registrable_domain, 'com' AS public_suffix,
+           false AS is_public_suffix_input, 'exact_host' AS input_kind, 'exact_only' AS apex_scope, 'plain' AS source_format, classification,
+           CASE WHEN dead THEN 'unregistered' ELSE 'registered' END AS rdap_registration_status, CASE WHEN dead THEN 'skipped' ELSE 'noerror' END AS dns_status, '' AS canonical_name,
+           CASE WHEN dead THEN '' ELSE '10.0.0.' || n || ',10.0.0.' || n + 1 END AS resolved_ips,
+           CASE WHEN dead OR s = 3 THEN 'skipped' ELSE 'ok' END AS geo_status, CASE WHEN dead THEN 'dead_root' WHEN s = 3 THEN 'geo_disabled' ELSE 'lookup_succeeded' END AS geo_reason,
+           CASE WHEN dead OR s >= 2 THEN 'skipped' WHEN fine THEN 'accepted' ELSE 'rejected' END AS geo_policy_status,
+           CASE WHEN dead THEN 'dead_root' WHEN s = 3 THEN 'geo_disabled' WHEN s = 2 THEN 'policy_disabled' WHEN s = 0 THEN CASE WHEN fine THEN 'all_ips_matched' ELSE 'one_or_more_ips_rejected' END
+                WHEN fine THEN 'at_least_one_ip_matched' ELSE 'no_ips_matched' END AS geo_policy_reason,
+           geo_provider, CASE WHEN geo_provider = '' THEN '' ELSE array_to_string(list_transform(seen, lambda x: 'C' || x), ',') END AS geo_countries, '' AS geo_region_codes,
+           CASE WHEN s = 0 AND NOT dead THEN array_to_string(list_transform(seen, lambda x: 'r' || x), ',') ELSE '' END AS geo_region_names,
+           CASE WHEN dead THEN 'dead' WHEN classification = 'dns_resolves' THEN 'filtered' ELSE 'review' END AS route
+    FROM t
+""")
+def run_terminal_rows(spark, sf):
+    """Terminal rows with all their columns; lists joined by commas."""
+    rows, _ = _first_run(spark, sf, kept(spark, "terminal"))
+    return rows.select(*[F.array_join(c, ",").alias(c) if t.startswith("array") else F.coalesce(F.col(c), F.lit("")).alias(c) if t == "string" else F.col(c) for c, t in rows.dtypes])
+
+
+@query("""
+    SELECT c_custkey AS k, row_number() OVER (ORDER BY c_nationkey, c_mktsegment, c_custkey % 100, 'h' || c_custkey) - 1 AS place FROM customer
+""")
+def entry_places(spark, sf):
+    """Places of entries in the order of sources and lines."""
+    k = F.col("c_custkey")
+    rows = _t(spark, sf, "customer").select(
+        k.alias("k"), F.col("c_nationkey").alias("source_index"), F.col("c_mktsegment").alias("source_id"), (k % 100).alias("line_index"), F.concat(F.lit("h"), k.cast("string")).alias("host")
+    )
+    return P.with_source_places(rows, kept(spark, "entries")).select("k", "place")
+
+
+@query("""
+    SELECT n_nationkey AS nation, (SELECT count(DISTINCT c_mktsegment) FROM customer WHERE c_nationkey = n_nationkey) = (SELECT count(DISTINCT c_mktsegment) FROM customer) AS whole FROM nation WHERE n_nationkey < 3
+""")
+def member_equality(spark, sf):
+    """Whether a nation's segments are all segments."""
+    rows = _t(spark, sf, "customer")
+    found = [(k, B.same_members(rows.filter(F.col("c_nationkey") == k), rows, "c_mktsegment")) for k in range(3)]
+    return spark.createDataFrame(found, "nation long, whole boolean").withColumn("nation", F.col("nation").cast(_t(spark, sf, "nation").schema["n_nationkey"].dataType))
+
+
 _NOTE_SQL = "CASE c_custkey % 4 WHEN 0 THEN 'says \"' || c_name || '\"' WHEN 1 THEN 'a,b' WHEN 2 THEN NULL ELSE 'two' || chr(10) || 'lines' END"
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import buckets
 from ..operators.prepare import parse_lines
-from ..operators.sinks import read_table, replace_table
 from ..sources.lists import BREAKS
 
 
@@ -18,17 +18,23 @@ def line_stream(spark: SparkSession, folder: str) -> DataFrame:
     return lines.withColumn("source_index", F.lit(0)).withColumn("source_input_label", F.col("source_id"))
 
 
+def first_entries(old: DataFrame, new: DataFrame, on: list[str]) -> DataFrame:
+    """Of old and new entries of a host the one of the first batch stays, then by source and line."""
+    both = old.unionByName(new)
+    order = F.struct("batch", "source_id", "line_index")
+    return both.groupBy(*on).agg(F.min_by(F.struct(*[c for c in both.columns if c not in on]), order).alias("e")).select(*on, "e.*").select(both.columns)
+
+
 def ingest(spark: SparkSession, folder: str, table: str, state: str, rules: DataFrame) -> StreamingQuery:
-    """Runs until all files there are taken in; ``table`` keeps the first entry of each host (see ``sinks.read_table``)."""
+    """Runs until all files there are taken in; ``table`` (see ``buckets.read``) keeps the first entry of each host.
+
+    A micro-batch rewrites the buckets of its hosts alone.  A batch that is made again after
+    a failure gives the same rows, so it changes nothing.
+    """
 
     def upsert(batch: DataFrame, number: int) -> None:
-        new = parse_lines(batch, rules).withColumn("batch", F.lit(number))
-        held = read_table(spark, table)
-        if held is not None:  # rows of this batch from an earlier attempt are made again
-            new = held.filter(F.col("batch") != number).unionByName(new)
-        order = F.struct("batch", "source_id", "line_index")
-        kept = new.groupBy("host").agg(F.min_by(F.struct(*[c for c in new.columns if c != "host"]), order).alias("e")).select("host", "e.*")
-        replace_table(kept, table)
+        new = parse_lines(batch, rules).withColumn("batch", F.lit(number).cast("long"))
+        buckets.write(first_entries(new.limit(0), new, ["host"]), table, ["host"], merge=first_entries)
 
     stream = line_stream(spark, folder)
     return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", state).trigger(availableNow=True).start()

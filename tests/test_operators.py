@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hostsift.functions import geo as G
 from hostsift.operators import batch as B
+from hostsift.operators import buckets as U
 from hostsift.operators import cache as C
 from hostsift.operators import lifecycle as Y
 from hostsift.operators import lookup as L
@@ -254,7 +255,7 @@ def test_stream(spark, tmp_path, rules):
     for k, text in enumerate(["a.com\nb.com\n", "b.com\nc.com\n"]):
         (tmp_path / "in" / f"{k}.txt").write_text(text)
         ingest.ingest(spark, f"{tmp_path}/in", f"{tmp_path}/table", f"{tmp_path}/state", rules).awaitTermination(120)
-    got = {r["host"]: r["batch"] for r in K.read_table(spark, f"{tmp_path}/table").collect()}
+    got = {r["host"]: r["batch"] for r in U.read(spark, f"{tmp_path}/table").collect()}
     assert set(got) == {"a.com", "b.com", "c.com"} and got["b.com"] < got["c.com"]
 
 

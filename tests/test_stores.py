@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, StringContains
 
 from hostsift.functions import geo as G
+from hostsift.operators import batch as B
 from hostsift.operators import buckets as U
 from hostsift.operators import csvfile
 from hostsift.operators import lookup as L
@@ -307,3 +308,10 @@ def test_parts_go_on_where_they_stopped(spark, tmp_path):
     assert left == [] and made == [0, 1, 2, 2, 3] and rows.count() == rows.select("registrable_domain").distinct().count() == 40
     with pytest.raises(ValueError):
         R.screened_in_parts(spark, folder, entries, 5, screen)
+
+
+def test_all_kinds_of_repeats_are_told(spark):
+    rows = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None), ("d", None)], "k string, v string")
+    B.ensure_all_unique(rows, {"key": F.col("k"), "pair": F.concat("k", "v")})
+    with pytest.raises(B.DuplicateRows, match="duplicate value: .*x"):
+        B.ensure_all_unique(rows, {"key": F.col("k"), "value": F.col("v")})
