@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +81,29 @@ def bootstrap_services(payload: DataFrame, column: str = "body") -> DataFrame:
     return rows.groupBy(F.lower("suffix").alias("suffix")).agg(F.max_by("urls", F.struct("at", "in_entry")).alias("urls"))
 
 
+def cached_services(spark: SparkSession, path: str, fetch: Callable[[], tuple[dict[str, str], str]], now: float) -> DataFrame:
+    """Services of the bootstrap document that ``path`` keeps with its expiry; fetched again when that has passed or is unknown.
+
+    ``fetch`` gives (headers, body); where it fails with an OSError the document kept holds on,
+    and without one there is no service.  The document lists registries, not roots, so its
+    size does not depend on the run's.
+    """
+    from .lookup import bootstrap_expiry
+    from .sinks import read_text, switch_pointer
+
+    held = json.loads(read_text(spark, path) or "{}")
+    if not held or held["expires"] is None or held["expires"] <= now:
+        try:
+            headers, body = fetch()
+        except OSError:
+            body = held.get("body", "")
+        else:
+            switch_pointer(spark, path, json.dumps({"body": body, "expires": bootstrap_expiry(headers, now)}))
+    else:
+        body = held["body"]
+    return bootstrap_services(spark.createDataFrame([(body,)], "body string"))
+
+
 def with_server(roots: DataFrame, services: DataFrame, root: str = "registrable_domain") -> DataFrame:
     """Adds authoritative_base_url: first URL of the longest suffix that has a service, or null."""
     named = (

@@ -19,6 +19,7 @@ from ..operators import lookup as L
 from ..operators import prepare as P
 from ..operators import run as R
 from ..operators import sinks as K
+from ..operators import suffixes as S
 from ..operators.csvfile import write_csv_file
 from ..operators.scratch import kept, shared_folder
 from ..sources import lists
@@ -124,6 +125,24 @@ def geo_requests(spark, sf):
     return asked.groupBy("provider").agg(F.count("*").alias("requests"), F.sum(F.size("ips")).alias("addresses"), F.sum("tries").alias("calls"))
 
 
+@query("""
+    SELECT 'r' || c_custkey || CASE c_custkey % 3 WHEN 0 THEN '.com' WHEN 1 THEN '.co.uk' ELSE '.nowhere' END AS registrable_domain,
+           CASE c_custkey % 3 WHEN 0 THEN 'https://com.example/' WHEN 1 THEN 'https://old.example/' END AS asked FROM customer
+""")
+def registry_servers_asked(spark, sf):
+    """The server that each root's live registry question goes to, without a plan: by the longest suffix of the bootstrap document."""
+    k = F.col("c_custkey")
+    name = F.concat(F.lit("r"), k.cast("string"), F.when(k % 3 == 0, ".com").when(k % 3 == 1, ".co.uk").otherwise(".nowhere"))
+    body = json.dumps({"services": [[["com"], ["https://com.example/"]], [["uk"], ["https://uk.example/"]], [["co.uk"], ["https://old.example/"]]]})
+    path = _folder(spark, "bootstrap") + ".json"
+    services = S.cached_services(spark, path, lambda: ({"Cache-Control": "max-age=60"}, body), 0.0)
+    rdap = lambda keys: keys.select("registrable_domain", F.lit(True).alias("exists"), F.array("authoritative_base_url").alias("statuses"), F.lit(True).alias("cacheable"))
+    lookups = R.Lookups(rdap, None, None, services=services)
+    now = F.to_timestamp(F.lit("2024-03-01 00:00:00"))
+    found, _ = R.registry_answers(_t(spark, sf, "customer").select(name.alias("registrable_domain")), None, lookups, R.Settings(), now, kept(spark, "servers"))
+    return found.select("registrable_domain", F.col("rdap.statuses")[0].alias("asked"))
+
+
 # Runs by source: three sources with two resolvers, two geo services and three policies.
 def _entries(spark, sf) -> DataFrame:
     k = F.col("c_custkey")

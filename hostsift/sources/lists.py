@@ -113,9 +113,9 @@ def fetched_lines(spark: SparkSession, sources: list[Source], fetch: Callable[[s
     return table.repartition(len(rows)).mapInPandas(run, LINES_SCHEMA)
 
 
-def source_lines(spark: SparkSession, sources: list[Source], fetch: Callable[[str, float], str] | None = None) -> DataFrame:
-    """Raw lines of all enabled sources."""
-    on = [s for s in sources if s.enabled]
+def source_lines(spark: SparkSession, sources: list[Source], fetch: Callable[[str, float], str] | None = None, prepared: frozenset[str] = frozenset()) -> DataFrame:
+    """Raw lines of all enabled sources but those ``prepared`` elsewhere, which are neither fetched nor read."""
+    on = [s for s in sources if s.enabled and s.id not in prepared]
     out = fetched_lines(spark, [s for s in on if s.input["type"] == "url"], fetch)
     for s in on:
         if s.input["type"] == "file" and (paths := matching_paths(spark, s.input["location"])):

@@ -18,6 +18,7 @@ from hostsift.operators import places
 from hostsift.operators import prepare as P
 from hostsift.operators import run as R
 from hostsift.operators import scratch
+from hostsift.operators import suffixes
 from hostsift.operators.suffixes import public_suffix_rules
 from hostsift.sources import lists, tables
 
@@ -315,3 +316,31 @@ def test_all_kinds_of_repeats_are_told(spark):
     B.ensure_all_unique(rows, {"key": F.col("k"), "pair": F.concat("k", "v")})
     with pytest.raises(B.DuplicateRows, match="duplicate value: .*x"):
         B.ensure_all_unique(rows, {"key": F.col("k"), "value": F.col("v")})
+
+
+def test_bootstrap_is_fetched_again_when_it_expires(spark, tmp_path):
+    asked = []
+
+    def fetch(suffix, age="max-age=60"):
+        def get():
+            asked.append(suffix)
+            return {"Cache-Control": age}, '{"services": [[["%s"], ["https://a.example/"]]]}' % suffix
+        return get
+
+    def failing():
+        raise OSError
+
+    path = f"{tmp_path}/dns.json"
+    names = lambda get, now: [r["suffix"] for r in suffixes.cached_services(spark, path, get, now).collect()]
+    assert names(failing, 0) == []
+    assert names(fetch("one"), 0) == ["one"] and names(fetch("two"), 59) == ["one"] and asked == ["one"]
+    assert names(failing, 61) == ["one"] and names(fetch("two", "private"), 61) == ["two"]
+    assert names(fetch("three"), 62) == ["three"]  # an unknown expiry is none
+
+
+def test_prepared_sources_are_not_read(spark, tmp_path):
+    from hostsift.sources import config
+
+    (tmp_path / "a.txt").write_text("a.com\n")
+    found, _ = config.parse_config({"version": 2, "sources": [{"id": k, "input": {"type": "file", "location": f"{tmp_path}/a.txt"}} for k in "ab"]})
+    assert [r["source_id"] for r in lists.source_lines(spark, found, prepared=frozenset("a")).collect()] == ["b"]
