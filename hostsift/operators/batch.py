@@ -7,15 +7,28 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .places import Keep, with_group_places
+
 
 class DuplicateRows(ValueError):
     """Rows that must be unique are not."""
 
 
-def interleaved(roots: DataFrame, server: str = "server", root: str = "root", seen: str = "first_seen") -> DataFrame:
+def _places(rows: DataFrame, server: str, order: list[Column | str], keep: Keep | None, name: str) -> DataFrame:
+    """Adds ``__n``, a root's place among its server's, from 0.
+
+    One registry may hold most roots: with ``keep`` its roots are numbered in as many range
+    partitions as they fill, else in one window.
+    """
+    if keep:
+        return with_group_places(rows, server, order, keep, name, "__n")
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(server).orderBy(*order)) - 1)
+
+
+def interleaved(roots: DataFrame, server: str = "server", root: str = "root", seen: str = "first_seen", keep: Keep | None = None) -> DataFrame:
     """Round robin over servers in name order, roots of a server as first seen, roots without a server last."""
-    turn = F.row_number().over(Window.partitionBy(server).orderBy(seen, root))
-    return roots.withColumn("turn", turn).orderBy(F.col(server).isNull(), F.when(F.col(server).isNotNull(), F.col("turn")), server, "turn")
+    turns = _places(roots, server, [seen, root], keep, "turns").withColumn("turn", F.col("__n") + 1).drop("__n")
+    return turns.orderBy(F.col(server).isNull(), F.when(F.col(server).isNotNull(), F.col("turn")), server, "turn")
 
 
 def balanced_assignment(groups: DataFrame, workers: int, server: str = "server", root: str = "root", size: str = "hosts") -> DataFrame:
@@ -40,13 +53,13 @@ def balanced_assignment(groups: DataFrame, workers: int, server: str = "server",
     return spark.createDataFrame(made, f"{root} string, worker string")
 
 
-def spread_assignment(groups: DataFrame, workers: int, server: str = "server", root: str = "root", size: str = "hosts") -> DataFrame:
+def spread_assignment(groups: DataFrame, workers: int, server: str = "server", root: str = "root", size: str = "hosts", keep: Keep | None = None) -> DataFrame:
     """The same aim without a driver loop, for root tables of any size: largest first in a snake over the workers of each server."""
-    n = F.row_number().over(Window.partitionBy(server).orderBy(F.desc(size), root)) - 1
-    turn, place = F.floor(n / workers), n % workers
+    numbered = _places(groups, server, [F.desc(size), root], keep, "sizes")
+    turn, place = F.floor(F.col("__n") / workers), F.col("__n") % workers
     # Servers begin at different workers; they are few, so their names are numbered in one task.
     begins = groups.select(server).distinct().withColumn("__start", F.row_number().over(Window.orderBy(F.col(server).asc_nulls_last())) - 1)
-    rows = groups.withColumn("__k", F.when(turn % 2 == 0, place).otherwise(workers - 1 - place)).alias("g")
+    rows = numbered.withColumn("__k", F.when(turn % 2 == 0, place).otherwise(workers - 1 - place)).alias("g")
     rows = rows.join(begins.alias("b"), F.col(f"g.{server}").eqNullSafe(F.col(f"b.{server}")))
     worker = F.pmod(F.col("__k") + F.col("__start"), F.lit(workers))
     return rows.select(*[f"g.{c}" for c in groups.columns], F.format_string("worker-%02d", (worker + 1).cast("int")).alias("worker"))

@@ -19,6 +19,7 @@ from ..operators import cache as C
 from ..operators import lookup as L
 from ..operators import prepare as P
 from ..operators import suffixes as S
+from ..operators.scratch import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -398,7 +399,7 @@ def unique_ip_coalesce(spark, sf):
 @query("SELECT s_suppkey AS root, s_nationkey AS server, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS turn FROM supplier")
 def round_robin(spark, sf):
     rows = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("root"), F.col("s_nationkey").alias("server"), F.col("s_suppkey").alias("first_seen"))
-    return B.interleaved(rows).select("root", "server", "turn")
+    return B.interleaved(rows, keep=kept(spark, "turns")).select("root", "server", F.col("turn").cast("long").alias("turn"))
 
 
 @query()

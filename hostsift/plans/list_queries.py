@@ -493,10 +493,20 @@ _SPREAD_SQL = """
 def spread_assignment(spark, sf):
     groups = _t(spark, sf, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("hosts"))
     roots = groups.select(F.concat_ws("-", "c_nationkey", "c_mktsegment").alias("root"), F.col("c_mktsegment").alias("server"), "hosts")
-    return B.spread_assignment(roots, 5).select("root", "worker")
+    return B.spread_assignment(roots, 5, keep=kept(spark, "assignment")).select("root", "worker")
 
 
-@query("SELECT s_suppkey % 7 AS shard, s_suppkey AS host FROM supplier")
+@query("""
+    SELECT s_suppkey % 7 AS shard, s_suppkey AS host, 'whole' AS state FROM supplier
+    UNION ALL SELECT NULL, NULL, 'a host is in two shards' WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey IN (SELECT s_suppkey FROM supplier))
+""")
 def merged_shards(spark, sf):
+    """The union of shards that share no host, and a row that tells of shards that do."""
     rows = _t(spark, sf, "supplier").select((F.col("s_suppkey") % 7).alias("shard"), F.col("s_suppkey").alias("host"))
-    return B.merged([rows.filter(F.col("shard") == k) for k in range(7)], ["host"], "host")
+    whole = B.merged([rows.filter(F.col("shard") == k) for k in range(7)], ["host"], "host").withColumn("state", F.lit("whole"))
+    try:
+        B.merged([rows.select("host"), _t(spark, sf, "customer").select(F.col("c_custkey").alias("host"))], ["host"], "host")
+    except B.DuplicateRows:
+        told = spark.createDataFrame([("a host is in two shards",)], "state string")
+        return whole.unionByName(told, allowMissingColumns=True)
+    return whole

@@ -344,3 +344,27 @@ def test_prepared_sources_are_not_read(spark, tmp_path):
     (tmp_path / "a.txt").write_text("a.com\n")
     found, _ = config.parse_config({"version": 2, "sources": [{"id": k, "input": {"type": "file", "location": f"{tmp_path}/a.txt"}} for k in "ab"]})
     assert [r["source_id"] for r in lists.source_lines(spark, found, prepared=frozenset("a")).collect()] == ["b"]
+
+
+def test_a_server_of_most_roots(spark):
+    """Numbering by range partitions equals the window's, and no partition holds the large server's roots alone."""
+    rng = random.Random(3)
+    rows = [(f"r{k}", rng.choice(["big"] * 6 + ["a", "b", None]), rng.randint(0, 9), rng.randint(1, 50)) for k in range(2000)]
+    df = spark.createDataFrame(rows, "root string, server string, first_seen int, hosts int").repartition(5)
+    keep, sizes = scratch.kept(spark, "servers"), []
+
+    def counted(part, name):
+        made = keep(part, name)
+        sizes.append(max(r["n"] for r in made.groupBy(F.shiftright("__at", 33).alias("p")).agg(F.count("*").alias("n")).collect()))
+        return made
+
+    turns = lambda found: {(r["root"], r["turn"]) for r in found.collect()}
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the small partitions of a test would be joined
+    try:
+        assert turns(B.interleaved(df, keep=counted)) == turns(B.interleaved(df))
+        worker = lambda found: {(r["root"], r["worker"]) for r in found.collect()}
+        assert worker(B.spread_assignment(df, 7, keep=counted)) == worker(B.spread_assignment(df, 7))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert max(sizes) < 4 * 2000 / 4 * 0.5 and len(sizes) == 2
