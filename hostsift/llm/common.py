@@ -34,6 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+#: Spark's switch to delete a query's shuffle files when the query ends, not when the driver collects its garbage.
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables of one run in the shared folder; they cut lineage and outlive lost executors.
 
@@ -51,7 +55,16 @@ class Scratch:
         return f"{self.base}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.path(name))
+        """``df`` written and read again.  Nothing needs the write's shuffle files once it has ended, so they go with it."""
+        before = self.spark.conf.get(SHUFFLES_END, None)
+        self.spark.conf.set(SHUFFLES_END, "true")
+        try:
+            df.write.parquet(self.path(name))
+        finally:
+            if before is None:
+                self.spark.conf.unset(SHUFFLES_END)
+            else:
+                self.spark.conf.set(SHUFFLES_END, before)
         return self.load(name, df)
 
     def load(self, name: str, like: DataFrame) -> DataFrame:

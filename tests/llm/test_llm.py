@@ -727,3 +727,24 @@ def test_pipeline_keeps_one_of_rows_without_ids(spark):
 
 def test_every_operator_has_a_query():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
+
+
+def test_saved_tables_leave_no_shuffle_files(spark, monkeypatch):
+    seen = []
+    plain = type(spark.range(1).write).parquet
+
+    def parquet(self, path, *args, **kwargs):
+        seen.append(spark.conf.get(common.SHUFFLES_END))
+        return plain(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", parquet)
+    before = spark.conf.get(common.SHUFFLES_END, None)
+    scratch = common.Scratch(spark, "shuffles")
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    first, again = scratch.save(counts, "first"), scratch.save(counts, "again")
+    assert sorted(first.collect()) == sorted(again.collect()) == sorted(counts.collect())
+    assert seen == ["true", "true"] and spark.conf.get(common.SHUFFLES_END, None) == before
+    with pytest.raises(Exception):
+        scratch.save(counts, "first")  # it is there
+    assert spark.conf.get(common.SHUFFLES_END, None) == before
+    scratch.close()
