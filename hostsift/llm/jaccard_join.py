@@ -204,6 +204,33 @@ def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     ).select("u", "v")
 
 
+def _met_twice(loose: DataFrame, members: DataFrame, arrays: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Candidates u, v of long lists: a loose set and a member of one of its lists that share a prefix token of the second hash order.
+
+    A set is in many lists that hold much the same sets (one shared passage has a list for
+    each of its shingles), so it meets others once, by its tokens of the second order; that
+    the two share a list is asked of the pairs that are left.  A set's first place in any
+    list stands for its place in the shared one, so no pair is lost.
+    """
+
+    def gathered(rows: DataFrame, p: str) -> DataFrame:
+        return rows.groupBy(f"{p}node").agg(
+            F.min(f"{p}at").alias(f"{p}at"), *[F.first(f"{p}{c}").alias(f"{p}{c}") for c in ("c", "n", "b0", "b1")],
+            F.collect_list("token").alias(f"{p}lists"),  # at most a prefix
+        )
+
+    near, far = scratch.save(gathered(loose, "a_"), "near"), scratch.save(gathered(members, ""), "far")
+    under = arrays.join(far.select("node"), "node", "left_semi").select("node", F.explode("second").alias("other"))
+    # A token that one member alone holds brings it no partner.
+    twice = under.groupBy("other").agg(F.count("*").alias("df")).filter("df > 1")
+    under = scratch.save(joined_by_size(under, twice, ["other"], "df").select("node", "other"), "under")
+    met = near.drop("a_lists").join(under.withColumnRenamed("node", "a_node"), "a_node").join(far.drop("lists").join(under, "node"), "other")
+    pairs = met.filter((F.col("a_c") != F.col("c")) & _compatible(percent, "a_", "")).select("a_node", "node").distinct()
+    pairs = scratch.save(pairs, "met")
+    shared = pairs.join(near.select("a_node", "a_lists"), "a_node").join(far.select("node", "lists"), "node").filter(F.arrays_overlap("a_lists", "lists"))
+    return shared.select(F.greatest("a_node", "node").alias("u"), F.least("a_node", "node").alias("v"))
+
+
 def jaccard_components(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -263,17 +290,15 @@ def jaccard_components(
     loose = placed.filter("c != p_c").select("token", "held", *[F.col(c).alias(f"a_{c}") for c in ("at", "c", *own)])
     # In a long list sets meet under two orders at once: they must share a prefix token of the second hash order too.
     long = loose.filter(F.col("held") > LONG)
-    met = loose.filter(F.col("held") <= LONG).drop("held").join(placed.drop("held"), "token")
-    if not long.isEmpty():
-        under = arrays.select("node", F.explode("second").alias("other"))
-        listed_long = placed.filter(F.col("held") > LONG).join(long.select("token").distinct(), "token", "left_semi").join(under, "node")
-        by_two = long.drop("held").join(under.withColumnRenamed("node", "a_node"), "a_node").join(listed_long.drop("held"), ["token", "other"])
-        met = met.unionByName(by_two.drop("other"))
+    short = loose.filter(F.col("held") <= LONG).drop("held").join(placed.drop("held"), "token")
     second = (
-        met.filter((F.col("a_c") != F.col("c")) & (F.col("node") != F.col("p_node")) & ((F.col("c") == F.col("p_c")) | (F.col("a_node") < F.col("node"))))
+        short.filter((F.col("a_c") != F.col("c")) & (F.col("node") != F.col("p_node")) & ((F.col("c") == F.col("p_c")) | (F.col("a_node") < F.col("node"))))
         .filter(_compatible(percent, "a_", ""))
         .select(F.greatest("a_node", "node").alias("u"), F.least("a_node", "node").alias("v")).distinct()
     )
+    if not long.isEmpty():
+        members = placed.filter((F.col("held") > LONG) & (F.col("node") != F.col("p_node"))).join(long.select("token").distinct(), "token", "left_semi")
+        second = second.unionByName(_met_twice(long, members, arrays, percent, scratch)).distinct()
     more = scratch.save(_verified(scratch.save(second, "pairs-2"), arrays, percent), "links-2")
     final = scratch.save(connected_components(links.unionByName(more), scratch, "cc-2"), "final") if not more.isEmpty() else part
     by_set = sets.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
