@@ -729,7 +729,7 @@ def test_every_operator_has_a_query():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
 
 
-def test_saved_tables_leave_no_shuffle_files(spark, monkeypatch):
+def test_saved_tables_set_and_restore_the_shuffle_switch(spark, monkeypatch):
     seen = []
     plain = type(spark.range(1).write).parquet
 
