@@ -8,9 +8,12 @@ orders are used:
 1. Hash order.  An extended prefix leaves a set no partner unless enough of its tokens
    occur in another set's; how many is the least over all sizes that a partner may have.  Counting needs no join: a token held by one set only credits
    that set, and the credits are summed.
-2. Rarest-first order over the sets that remain.  Sharing a prefix token here, with
-   places, sizes and parities (128 bits a set) that still allow the overlap, makes a
-   candidate.
+2. Rarest-first order over the sets that remain: by the level (half powers of two) of the
+   count in a token's slot of a table of at most 8 MB, ties by hash.  Any order that all
+   sets share keeps every link, so slots that several tokens share cost candidates at
+   most; a token whose slot counted it alone brings no partner and needs no row.  Sharing
+   a prefix token here, with places, sizes and parities (128 bits a set) that still allow
+   the overlap, makes a candidate.
 3. A second hash order.  A candidate must share a prefix token here too.
 
 Equal sets are one node throughout, so copies are never expanded.  A list of sets that
@@ -37,6 +40,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +49,8 @@ from .components import connected_components
 
 #: Sets in a list beyond which they meet under two orders at once.
 LONG = 256
+#: Slots of the table of levels, a byte each: at least one for each token of all sets, between these powers of two.
+LEAST_BITS, MOST_BITS = 16, 23
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -171,6 +177,52 @@ def _arrays(width: int, percent: int):
     return run, "node long, n long, tokens array<long>, second array<long>, b0 long, b1 long"
 
 
+def _levels(arrays: DataFrame, scratch: Scratch) -> np.ndarray:
+    """For each slot twice the logarithm of the number of sets' tokens in it, rounded up: 0 for a slot of one token or none."""
+    total = arrays.agg(F.sum("n")).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, int(total).bit_length()))
+    slot = F.col("token").bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    counts = arrays.select(F.explode("tokens").alias("token")).groupBy(slot.alias("slot")).agg(F.count("*").alias("df")).filter("df > 1")
+    levels = counts.select("slot", F.ceil(2 * F.log2("df")).cast("int").alias("level"), F.shiftright("slot", LEAST_BITS).alias("part"))
+
+    def packed(part: pa.Table) -> pa.Table:
+        field = np.zeros(1 << LEAST_BITS, np.uint8)
+        field[part["slot"].to_numpy() & (len(field) - 1)] = part["level"].to_numpy()
+        return pa.table({"part": part["part"][:1], "field": pa.array([field.tobytes()])})
+
+    parts = scratch.save(levels.groupBy("part").applyInArrow(packed, "part int, field binary"), "levels")
+    whole = np.zeros((1 << bits - LEAST_BITS, 1 << LEAST_BITS), np.uint8)
+    for row in parts.collect():  # at most 128 parts of 64 KB
+        whole[row["part"]] = np.frombuffer(row["field"], np.uint8)
+    return whole.reshape(-1)
+
+
+def _rarest(levels: Broadcast, percent: int):
+    """The prefix in rarest-first order, a row a token, without tokens that no other set holds."""
+
+    names = ["token", "node", "n", "b0", "b1", "at"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = levels.value
+        mask = np.uint64(len(table) - 1)
+        for batch in portions(batches):
+            tokens, places = [], []
+            for held in batch["tokens"]:
+                own = held.values.to_numpy().view(np.uint64)
+                level = table[own & mask]
+                n = len(own)
+                at = np.lexsort(((own ^ (own >> np.uint64(29))) * _C, level))[: n - _needed(n, percent) + 1]
+                place = np.flatnonzero(level[at])
+                tokens.append(own[at[place]])
+                places.append(place)
+            times = np.fromiter(map(len, places), np.int64, len(places))
+            same = [np.repeat(batch[c].to_numpy(), times) for c in names[1:5]]
+            columns = [_long(np.concatenate(tokens or [np.zeros(0, np.uint64)])), *same, np.concatenate(places or [np.zeros(0, np.int64)])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return run, ", ".join(f"{c} long" for c in names)
+
+
 def _compatible(percent: int, a: str, b: str) -> Column:
     """Sizes, places of a shared token and parities that still allow the overlap.
 
@@ -259,17 +311,11 @@ def jaccard_components(
     texts = base.join(left, base["doc_id"] == left["node"]).select("node", "text", "digest")
     arrays = scratch.save(texts.mapInArrow(run, schema).dropDuplicates(["node"]), "arrays")
 
-    # Order 2: rarest first.  Tokens of one set only take the first places and need no row.
-    rows = arrays.select("node", "n", F.explode("tokens").alias("token"))
-    often = rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    per_set = rows.join(often, "token").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    per_set = per_set.join(arrays.select("node", "b0", "b1"), "node")
-    novel = F.col("n") - F.size("shared")
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0) - F.lit(1e-9)) + 1
+    # Order 2: rarest first.
     own = ["node", "n", "b0", "b1"]
-    postings = per_set.withColumn("novel", novel).withColumn("take", F.greatest(prefix - novel, F.lit(0)).cast("int")).select(
-        *own, "novel", F.posexplode(F.expr("slice(shared, 1, take)")).alias("at", "s")
-    ).select(F.col("s.token").alias("token"), *own, (F.col("novel") + F.col("at")).alias("at"))
+    levels = spark.sparkContext.broadcast(_levels(arrays, scratch))
+    run, schema = _rarest(levels, percent)
+    postings = arrays.select("tokens", *own).mapInArrow(run, schema)
     postings = scratch.save(postings, "postings")
     pivots = postings.groupBy("token").agg(F.min(F.struct("at", *own)).alias("p"), F.count("*").alias("held")).filter("held > 1")
     pivots = scratch.save(pivots.select("token", "held", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("at", *own)]), "pivots")
