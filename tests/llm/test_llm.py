@@ -515,9 +515,15 @@ def test_jaccard_prefixes_at_the_threshold(spark, percent):
     assert got == {k: k - k % 2 for k in range(len(texts))}
 
 
-def test_long_lists_meet_under_two_orders(spark, monkeypatch):
-    """Families around the threshold share a common passage, so lists are long and their pivots leave sets loose."""
+@pytest.mark.parametrize("bits", [(16, 23), (2, 4)])
+def test_long_lists_meet_under_two_orders(spark, monkeypatch, bits):
+    """Families around the threshold share a common passage, so lists are long and their pivots leave sets loose.
+
+    In the table of 16 slots most tokens share a slot, and the order by levels tells little.
+    """
     monkeypatch.setattr(jaccard_join, "LONG", 3)
+    monkeypatch.setattr(jaccard_join, "LEAST_BITS", bits[0])
+    monkeypatch.setattr(jaccard_join, "MOST_BITS", bits[1])
     rng = random.Random(121)
     base = prose(rng, 60).split(" ")
     texts = []
