@@ -97,6 +97,14 @@ def release(but: tuple[Scratch, ...] = ()) -> None:
 atexit.register(release)
 
 
+def tidy(spark: SparkSession) -> None:
+    """The driver collects its garbage: Spark drops what it broadcast for plans that are done, and the heap shrinks to what is used.
+
+    For operators of many short jobs, whose plans and broadcasts pile up in the driver.
+    """
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 class RecentCache(dict):
     """key -> value by subclasses' ``make``, in two generations of bounded size.
 

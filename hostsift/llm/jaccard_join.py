@@ -44,7 +44,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RecentCache, Scratch, joined_by_size
+from .common import RecentCache, Scratch, joined_by_size, tidy
 from .components import connected_components
 
 #: Sets in a list beyond which they meet under two orders at once.
@@ -317,6 +317,9 @@ def jaccard_components(
     run, schema = _rarest(levels, percent)
     postings = arrays.select("tokens", *own).mapInArrow(run, schema)
     postings = scratch.save(postings, "postings")
+    levels.destroy()
+    del levels, run
+    tidy(spark)
     pivots = postings.groupBy("token").agg(F.min(F.struct("at", *own)).alias("p"), F.count("*").alias("held")).filter("held > 1")
     pivots = scratch.save(pivots.select("token", "held", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("at", *own)]), "pivots")
     listed = postings.join(pivots, "token")
@@ -325,6 +328,7 @@ def jaccard_components(
         .select(F.greatest("node", "p_node").alias("u"), F.least("node", "p_node").alias("v")).distinct()
     )
     links = scratch.save(_verified(scratch.save(first, "pairs-1"), arrays, percent), "links-1")
+    tidy(spark)
     part = scratch.save(connected_components(links, scratch, "cc-1"), "part-1")
 
     # What its list's pivot did not connect meets the whole list, but for sets of its own component.
@@ -333,6 +337,7 @@ def jaccard_components(
     ).withColumn(out, F.coalesce("__c", node)).drop("__c")
     placed = named(named(listed.select("token", "held", *own, "at", "p_node"), "node", "c"), "p_node", "p_c")
     placed = scratch.save(placed, "placed")
+    tidy(spark)
     loose = placed.filter("c != p_c").select("token", "held", *[F.col(c).alias(f"a_{c}") for c in ("at", "c", *own)])
     # In a long list sets meet under two orders at once: they must share a prefix token of the second hash order too.
     long = loose.filter(F.col("held") > LONG)
@@ -346,8 +351,13 @@ def jaccard_components(
         members = placed.filter((F.col("held") > LONG) & (F.col("node") != F.col("p_node"))).join(long.select("token").distinct(), "token", "left_semi")
         second = second.unionByName(_met_twice(long, members, arrays, percent, scratch)).distinct()
     more = scratch.save(_verified(scratch.save(second, "pairs-2"), arrays, percent), "links-2")
-    final = scratch.save(connected_components(links.unionByName(more), scratch, "cc-2"), "final") if not more.isEmpty() else part
-    by_set = sets.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
+    tidy(spark)
+    by_set = named(sets.select("digest", "node"), "node", "component")
+    if not more.isEmpty():
+        # A component of the first links is one node of the second, named by its smallest.
+        over = named(named(more, "u", "c_u"), "v", "c_v").select(F.col("c_u").alias("u"), F.col("c_v").alias("v"))
+        whole = scratch.save(connected_components(over, scratch, "cc-2"), "part-2").select(F.col("node").alias("component"), F.col("component").alias("least"))
+        by_set = by_set.join(whole, "component", "left").select("digest", F.coalesce("least", "component").alias("component"))
     return slim.join(by_set, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),

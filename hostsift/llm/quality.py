@@ -94,12 +94,12 @@ def indicators(text: str | None) -> np.ndarray:
 
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0) -> np.ndarray:
     """log of the smoothed share of a column among the indicators of class 1 against class 0."""
-    size = 1 << BITS
-    counts = [
-        np.bincount(np.concatenate([r for r, v in zip(rows, y, strict=True) if v == c] or [np.zeros(0, np.uint32)]), minlength=size)
-        for c in (1, 0)
-    ]
-    p, q = (c + alpha for c in counts)
+    counts = np.zeros((2, 1 << BITS), np.int64)
+    for c in (0, 1):
+        held = [r for r, v in zip(rows, y, strict=True) if v == c]
+        for at in range(0, len(held), 500):  # the whole sample at once would be copied as 64-bit numbers
+            counts[c] += np.bincount(np.concatenate(held[at : at + 500]), minlength=1 << BITS)
+    q, p = counts + alpha
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
@@ -114,13 +114,13 @@ def dual_coordinate_descent(
     sign = np.where(y == 1, 1.0, -1.0)
     share = max(min(y.mean(), 1 - 1e-6), 1e-6)
     top = np.where(y == 1, c * 0.5 / share, c * 0.5 / (1 - share))
-    values = [scale[r] for r in rows]
-    norms = np.array([v @ v + 1.0 for v in values])
+    norms = np.array([v @ v + 1.0 for v in (scale[r] for r in rows)])
     alpha, rng = np.zeros(len(rows)), np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            r, v, s = rows[i], values[i], sign[i]
+            r, s = rows[i], sign[i]
+            v = scale[r]  # for all rows at once they would take twice what the sample takes
             gradient = s * (w[r] @ v + bias) - 1.0
             new = min(max(alpha[i] - gradient / norms[i], 0.0), top[i])
             step = (new - alpha[i]) * s
@@ -204,16 +204,22 @@ class QualityModel:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_rows: int = 12_000) -> QualityModel:
-    """Fits on the bounded sample; indicators are made on the executors and arrive as packed bytes."""
+    """Fits on the bounded sample; indicators are made on the executors and arrive as packed bytes.
+
+    These stay one Arrow column, of which the rows are views: so the driver holds them once and gives them back whole.
+    """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "x": [indicators(t).tobytes() for t in batch["text"]], "y": batch["y"]})
         forget_tokens()
 
-    sample = labelled_sample(docs, labels, label_col, sample_rows).mapInPandas(pack, "doc_id long, x binary, y int").toPandas()
-    sample = sample.sort_values("doc_id")
-    return QualityModel.fit([np.frombuffer(x, np.uint32) for x in sample["x"]], sample["y"].to_numpy(int))
+    sample = labelled_sample(docs, labels, label_col, sample_rows).mapInPandas(pack, "doc_id long, x binary, y int").toArrow()
+    sample = sample.sort_by("doc_id")
+    model = QualityModel.fit([np.frombuffer(x.as_buffer(), np.uint32) for x in sample["x"]], sample["y"].to_numpy().astype(int))
+    del sample
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _scored(docs: DataFrame, model, schema: T.StructType, text_col: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -277,6 +278,19 @@ def test_dual_descent_keeps_the_box_and_separates():
     assert all(((w[r] @ scale[r] + b) > 0) == bool(v) for r, v in zip(rows, y, strict=True))
 
 
+def test_quality_fit_takes_little_memory_beside_its_sample():
+    rng = np.random.default_rng(1)
+    y = (rng.random(3000) < 0.3).astype(int)
+    rows = [np.unique(rng.integers(0, 1 << 18, 3000) // (1 + 3 * c)).astype(np.uint32) for c in y]
+    tracemalloc.start()
+    try:
+        quality.QualityModel.fit(rows, y)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < sum(r.nbytes for r in rows)
+
+
 # --- 6
 
 
