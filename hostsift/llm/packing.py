@@ -23,6 +23,8 @@ import zlib
 from bisect import bisect_left, insort
 from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -78,7 +80,7 @@ class TokenBytes(RecentCache):
     through the whole tokenizer.  Tokens and pieces are kept in bounded caches.
     """
 
-    limit = 200_000
+    limit = 400_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -146,9 +148,10 @@ def cut_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capa
 
 def best_fit(items, sizes, bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Adds items, longest first, each to the open bin with the least room that holds it."""
-    room = sorted((capacity - sum(int(sizes[i]) for i in b), k) for k, b in enumerate(bins))
-    for i in sorted(items, key=lambda i: -sizes[i]):
-        size = int(sizes[i])
+    room = sorted(zip((capacity - filled(bins, sizes)).tolist(), range(len(bins)), strict=True))
+    items = np.fromiter(items, np.int64)
+    order = np.argsort(-sizes[items], kind="stable")
+    for i, size in zip(items[order].tolist(), sizes[items[order]].tolist(), strict=True):
         at = bisect_left(room, (size, -1))
         if at < len(room):
             left, k = room.pop(at)
@@ -161,14 +164,21 @@ def best_fit(items, sizes, bins: list[list[int]], capacity: int) -> list[list[in
     return bins
 
 
+def filled(bins: list[list[int]], sizes) -> np.ndarray:
+    """Sum of the sizes in each bin; no bin is empty."""
+    counts = np.fromiter(map(len, bins), np.int64, len(bins))
+    items = np.fromiter(chain.from_iterable(bins), np.int64, int(counts.sum()))
+    return np.add.reduceat(sizes[items], np.cumsum(counts) - counts) if bins else np.zeros(0, np.int64)
+
+
 def fitness(bins: list[list[int]], sizes, capacity: int) -> float:
     """Fewer bins first; among equals the mean squared fill, which favours full bins beside one loose one."""
-    fill = np.array([sizes[b].sum() for b in bins]) / capacity
+    fill = filled(bins, sizes) / capacity
     return float(-len(bins) + (fill**2).mean()) if bins else 0.0
 
 
 def cross(giver: list[list[int]], taker: list[list[int]], sizes, capacity: int, rng) -> list[list[int]]:
-    fills = np.array([sizes[b].sum() for b in giver])
+    fills = filled(giver, sizes)
     good = np.flatnonzero(fills >= np.quantile(fills, 0.5))
     chosen = rng.choice(good, size=max(1, len(good) // 2), replace=False)
     injected = [list(giver[k]) for k in chosen]
@@ -184,7 +194,7 @@ def cross(giver: list[list[int]], taker: list[list[int]], sizes, capacity: int,
 
 def mutate(bins: list[list[int]], sizes, capacity: int, rng) -> list[list[int]]:
     """Opens a few of the emptiest bins and best-fits their pieces."""
-    fills = np.array([sizes[b].sum() for b in bins])
+    fills = filled(bins, sizes)
     opened = set(np.argsort(fills)[: max(2, len(bins) // 50)].tolist()) | set(rng.integers(0, len(bins), 2).tolist())
     kept = [list(b) for k, b in enumerate(bins) if k not in opened]
     return best_fit([i for k in opened for i in bins[k]], sizes, kept, capacity)
@@ -203,10 +213,12 @@ def evolve(sizes: np.ndarray, seeds: list[list[list[int]]], capacity: int, rng,
     bound = -(-int(sizes.sum()) // capacity)
     people = list(seeds) or [best_fit(range(n), sizes, [], capacity)]
     score = lambda b: fitness(b, sizes, capacity)
-    best = max(people, key=score)
+    scored = [(score(b), b) for b in people]
+    rank = itemgetter(0)
+    best = max(scored, key=rank)[1]
     if len(best) <= bound:
         return best
-    while len(people) < POPULATION:  # other orders of near-equal sizes
+    while len(scored) < POPULATION:  # other orders of near-equal sizes
         noisy = sizes * rng.uniform(0.7, 1.3, n)
         order, bins, room = np.argsort(-noisy), [], []
         for i in order.tolist():
@@ -216,14 +228,14 @@ def evolve(sizes: np.ndarray, seeds: list[list[list[int]]], capacity: int, rng,
             bins.append([i]) if k == len(bins) else bins[k].append(i)
             if left > size:
                 insort(room, (left - size, k))
-        people.append(bins)
+        scored.append((score(bins), bins))
     for _ in range(generations):
-        people.sort(key=score, reverse=True)
-        giver, taker = people[0], people[1 + int(rng.integers(0, len(people) - 1))]
+        scored.sort(key=rank, reverse=True)
+        giver, taker = scored[0][1], scored[1 + int(rng.integers(0, len(scored) - 1))][1]
         child = mutate(cross(giver, taker, sizes, capacity, rng), sizes, capacity, rng)
-        if score(child) > score(people[-1]):
-            people[-1] = child
-        best = max(people, key=score)
+        if (value := score(child)) > scored[-1][0]:
+            scored[-1] = (value, child)
+        best = max(scored, key=rank)[1]
         if len(best) <= bound:
             break
     return best

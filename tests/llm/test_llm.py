@@ -294,6 +294,20 @@ def test_quality_fit_takes_little_memory_beside_its_sample():
 # --- 6
 
 
+def test_each_packing_is_scored_once(monkeypatch):
+    calls, score = [], packing.fitness
+    monkeypatch.setattr(packing, "fitness", lambda *a: calls.append(a) or score(*a))
+    sizes = np.random.default_rng(2).integers(1366, 1500, 300)  # two fit, three never: the bound is out of reach
+    bins = packing.evolve(sizes, [], 4096, np.random.default_rng(3))
+    assert sorted(i for b in bins for i in b) == list(range(300)) and len(bins) == 150
+    assert len(calls) == packing.POPULATION + packing.GENERATIONS
+
+
+def test_filled():
+    sizes = np.array([5, 7, 11, 13])
+    assert packing.filled([[3], [0, 2], [1]], sizes).tolist() == [13, 16, 7] and packing.filled([], sizes).tolist() == []
+
+
 def test_packing(spark):
     path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
     from tokenizers import Tokenizer
