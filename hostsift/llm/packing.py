@@ -23,12 +23,13 @@ import zlib
 from bisect import bisect_left, insort
 from codecs import charmap_decode
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,18 +44,21 @@ ISLANDS, EPOCHS, POPULATION, GENERATIONS = 3, 2, 4, 6
 TAIL_SHARDS = 256
 PIECES = ["uid", "doc_id", "piece", "start", "length", "ids_crc32"]
 
-_CONTROL = re.compile("[\x1c-\x1f]")
-_SPLIT = re.compile(r"[ \t-\r]+")
 #: Letters that the tokenizer's normaliser only puts in lower case: no marks to compose, no letter whose lower case is two.
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f"
+#: Most chunks: such letters, and ASCII marks behind them.
+_PLAIN = f"^(?P<word>[{_LETTERS}]+)(?P<tail>[!-/:-@\\[-`{{-~]*)$"
 _SIMPLE = regex.compile(r"[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
 #: How the tokenizer cuts a white-space token.  Fixed value of the vocabulary file.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Bytes of text encoded together (a longer text alone), and tokens whose ids are put side by side at a time.
+AT_ONCE, TOKENS = 8_000_000, 1 << 18
 
 
 class _Pieces(RecentCache):
     """Piece in lower case -> its ids as bytes, by the tokenizer's model alone."""
 
-    limit = 100_000
+    limit = 400_000
 
     def __init__(self, tokenize):
         super().__init__()
@@ -71,75 +75,124 @@ class _Pieces(RecentCache):
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class TokenBytes(RecentCache):
-    """White-space token -> its ids as little-endian unsigned 32-bit bytes.
-
-    The tokenizer drops white space and no id spans it, so the ids of a text are those
-    of its white-space tokens, one after another.  A token of simple letters is cut into
-    pieces as the tokenizer does, and its model encodes each piece; any other token goes
-    through the whole tokenizer.  Tokens and pieces are kept in bounded caches.
-    """
-
-    limit = 400_000
+class _Chunks(RecentCache):
+    """White-space token -> its ids as bytes: cut as the tokenizer does where that is known, else through the whole tokenizer."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    limit = 100_000
 
+    def __init__(self, tokenizer, pieces: _Pieces, known: bool, added: list[str]):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = _Pieces(self.tokenizer.model.tokenize)
-        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        form = json.loads(self.tokenizer.to_str())
-        cuts = [c.get("pattern", {}).get("Regex") for c in (form["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        known = cuts[:1] == [_PIECE.pattern] and "Lowercase" in str(form["normalizer"])
-        self.simple = _SIMPLE.fullmatch if known else lambda chunk: None
+        self.tokenizer, self.pieces, self.known, self.added = tokenizer, pieces, known, added
 
     def make(self, chunk: str) -> bytes:
-        word = chunk.rstrip(".,;:!?")
-        if word.isalpha() and self.simple(word):
-            ids = self.pieces[word.lower()]
-            return ids + self.pieces[chunk[len(word) :]] if len(word) < len(chunk) else ids
-        if self.simple(chunk) and not any(a in chunk for a in self.added):
+        if self.known and _SIMPLE.fullmatch(chunk) and not any(a in chunk for a in self.added):
             return b"".join(map(self.pieces.__getitem__, _PIECE.findall(chunk.lower())))
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def shrink(self) -> None:
-        """For the end of a task: an idle worker keeps the young generations only."""
-        self.old, self.pieces.old = {}, {}
 
-    def encode(self, text: str | None) -> bytes:
-        # str.split also cuts at 1C to 1F, which the tokenizer keeps.
-        chunks = _SPLIT.split(text) if text and _CONTROL.search(text) else (text or "").split()
-        return b"".join(map(self.__getitem__, chunks))
+def runs(pool: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs of ``pool``, of these sizes, that ``which`` names, one after another."""
+    first, made = np.cumsum(sizes) - sizes, [pool[:0]]
+    for low in range(0, len(which), TOKENS):
+        own = which[low : low + TOKENS]
+        size = sizes[own]
+        ends = np.cumsum(size)
+        made.append(pool[np.repeat(first[own] - (ends - size), size) + np.arange(ends[-1])])
+    return np.concatenate(made)
 
 
-_encoders: dict[str, TokenBytes] = {}
+class TextIds:
+    """Ids of many texts at once.
 
+    The tokenizer drops white space and no id spans it, so the ids of a text are those
+    of its white-space tokens, one after another.  Each distinct token of the texts is
+    encoded once: one of plain letters and marks as two pieces by the tokenizer's model,
+    any other by itself.  Pieces and tokens are kept in bounded caches.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        form = json.loads(tokenizer.to_str())
+        cuts = [c.get("pattern", {}).get("Regex") for c in (form["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        known = cuts[:1] == [_PIECE.pattern] and "Lowercase" in str(form["normalizer"])
+        self.pieces = _Pieces(tokenizer.model.tokenize)
+        self.chunks = _Chunks(tokenizer, self.pieces, known, added)
+        # An added token within letters and marks would be of that form itself, or of marks alone.
+        self.plain = known and not any(re.match(_PLAIN.replace("+", "*", 1), a) for a in added)
 
-def encoder(path: str) -> TokenBytes:
+    def shrink(self) -> None:
+        """For the end of a task: an idle worker keeps the young generations only."""
+        self.chunks.old, self.pieces.old = {}, {}
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct tokens, one after another, and how many each has."""
+        if self.plain:
+            word, tail = pc.extract_regex(chunks, _PLAIN).flatten()
+        else:
+            word = tail = pa.nulls(len(chunks), pa.string())
+        # Units: no ids, the distinct words and tails, and the tokens of other forms.
+        units, named = [b""], np.zeros((len(chunks), 2), np.int64)
+        for k, part in enumerate((pc.utf8_lower(word), tail)):
+            part = part.dictionary_encode()
+            named[:, k] = part.indices.fill_null(-len(units)).to_numpy() + len(units)
+            units += map(self.pieces.__getitem__, part.dictionary.to_pylist())
+        others = np.flatnonzero(word.is_null())
+        named[others, 0] = len(units) + np.arange(len(others))
+        units += map(self.chunks.__getitem__, chunks.take(pa.array(others)).to_pylist())
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        return runs(np.frombuffer(b"".join(units), "<u4"), sizes, named.ravel()), sizes[named].sum(axis=1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without nulls, one after another, and how many each has."""
+        # The wider cut is also at 1C to 1F, which the tokenizer keeps.
+        kept = pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py()
+        cut = pc.ascii_split_whitespace(texts) if kept else pc.utf8_split_whitespace(texts)
+        tokens, offsets = cut.flatten().dictionary_encode(), cut.offsets.to_numpy()
+        del cut  # a copy of the texts
+        pool, sizes = self.chunk_ids(tokens.dictionary)
+        which = tokens.indices.to_numpy()
+        before = np.concatenate([[0], np.cumsum(sizes[which])])
+        return runs(pool, sizes, which), np.diff(before[offsets])
+
+
+_encoders: dict[str, TextIds] = {}
+
+
+def encoder(path: str) -> TextIds:
     if path not in _encoders:
-        _encoders[path] = TokenBytes(path)
+        _encoders[path] = TextIds(path)
     return _encoders[path]
 
 
+def stretches(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Begins and ends of rows that are encoded together."""
+    group = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // AT_ONCE
+    return pairwise([0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)])
+
+
 def cut_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int, end_id: int) -> DataFrame:
     """One row a piece; uid numbers the rows and is fixed once the table is written."""
-    width, end = 4 * capacity, np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         uid = (context.partitionId() if context else 0) << 40
         encode = encoder(tokenizer).encode
         for batch in batches:
-            rows = []
-            for k, text in enumerate(batch["text"]):
-                data = encode(text.as_py()) + end
-                for piece, at in enumerate(range(0, len(data), width)):
-                    part = data[at : at + width]
-                    rows.append((k, uid, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                    uid += 1
-            of, *made = np.array(rows, np.int64).reshape(-1, 6).T
-            yield pa.RecordBatch.from_arrays([made[0], batch["doc_id"].take(pa.array(of)), *made[1:]], PIECES)
+            texts = batch["text"].fill_null("")
+            for low, high in stretches(texts):
+                ids, sizes = encode(texts[low:high])
+                data, ends = np.insert(ids, np.cumsum(sizes), end_id), np.cumsum(sizes + 1).tolist()
+                rows = []
+                for k, (begin, end) in enumerate(pairwise([0, *ends]), low):
+                    for piece, at in enumerate(range(begin, end, capacity)):
+                        part = data[at : min(at + capacity, end)]
+                        rows.append((k, uid, piece, at - begin, len(part), zlib.crc32(part)))
+                        uid += 1
+                of, *made = np.array(rows, np.int64).reshape(-1, 6).T
+                yield pa.RecordBatch.from_arrays([made[0], batch["doc_id"].take(pa.array(of)), *made[1:]], PIECES)
         encoder(tokenizer).shrink()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -1,13 +1,16 @@
 """Each operator against a brute-force version on small tables, and on odd input."""
 
 import hashlib
+import json
 import random
 import re
 import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -303,6 +306,47 @@ def test_each_packing_is_scored_once(monkeypatch):
     assert len(calls) == packing.POPULATION + packing.GENERATIONS
 
 
+def test_texts_are_encoded_by_their_distinct_tokens(monkeypatch, tmp_path):
+    """Ids are the tokenizer's for all texts of a batch, and a word is encoded once however often it stands there."""
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(6)
+    texts = ["", " \t", "It's 3 o'clock… x<|endoftext|>. <|startoftext|>!", "a\xa0b\u3000c\x85d", "İstanbul ǅ Ⱥ ß µm ªº Σας ΣΑΣ", "naïve' l'été» A$$$ .%%% a--b", "x" * 5000 + "!!"]
+    texts += ["".join(map(chr, range(0x21, 0x250))), " ".join(chr(c) + "x." + chr(c) for c in range(1, 0x3100))]
+    texts += ["".join(rng.choices("abEÉéß'’.,!<|>_-09 \t\xa0\u0301ǅж日½\x85", k=rng.randrange(60))) for _ in range(2000)]
+    monkeypatch.setattr(packing, "TOKENS", 97)
+    used = path
+    for cased in (False, True):  # a tokenizer of another form goes through the whole tokenizer
+        if cased:
+            form = json.loads(plain.to_str())
+            form["normalizer"]["normalizers"] = [n for n in form["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+            used = str(tmp_path / "cased.json")
+            Path(used).write_text(json.dumps(form))
+            plain = Tokenizer.from_file(used)
+        encoder = packing.TextIds(used)
+        assert encoder.plain is not cased
+        for some in (texts, [t for t in texts if not re.search("[\x1c-\x1f]", t)], texts[:1], []):
+            ids, sizes = encoder.encode(pa.array(some, pa.string()))
+            parts = np.split(ids, np.cumsum(sizes)[:-1]) if some else []
+            assert [p.tolist() for p in parts] == [plain.encode(t, add_special_tokens=False).ids for t in some]
+
+    encoder = packing.TextIds(path)
+    seen, made = [], encoder.pieces.make
+    encoder.pieces.make, encoder.pieces.limit = lambda piece: seen.append(piece) or made(piece), 1  # keeps nothing for long
+    ids, sizes = encoder.encode(pa.array(["Thin thorn, other THIN. thorn!! other"] * 500))
+    assert sorted(seen) == ["", "!!", ",", ".", "other", "thin", "thorn"]
+    assert ids.tolist() == 500 * Tokenizer.from_file(path).encode("thin thorn, other thin. thorn!! other", add_special_tokens=False).ids
+
+
+def test_stretches(monkeypatch):
+    monkeypatch.setattr(packing, "AT_ONCE", 10)
+    texts = pa.array(["abcd", "", "é" * 2, "abcd", "x" * 35, "", "y"])
+    assert list(packing.stretches(texts)) == [(0, 3), (3, 4), (4, 7)]
+    assert list(packing.stretches(texts[:0])) == [(0, 0)]
+
+
 def test_filled():
     sizes = np.array([5, 7, 11, 13])
     assert packing.filled([[3], [0, 2], [1]], sizes).tolist() == [13, 16, 7] and packing.filled([], sizes).tolist() == []
