@@ -51,7 +51,7 @@ _PLAIN = f"^(?P<word>[{_LETTERS}]+)(?P<tail>[!-/:-@\\[-`{{-~]*)$"
 _SIMPLE = regex.compile(r"[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
 #: How the tokenizer cuts a white-space token.  Fixed value of the vocabulary file.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Bytes of text encoded together (a longer text alone), and tokens whose ids are put side by side at a time.
+#: Bytes of text encoded together (one longer text may come on top), and tokens whose ids are put side by side at a time.
 AT_ONCE, TOKENS = 8_000_000, 1 << 18
 
 
